@@ -425,7 +425,8 @@ def stream_dedup_watermark(spark, sf_dir):
 
 @query
 def stream_hourly_counts(spark, sf_dir):
-    table = f"{sf_dir}/events.parquet"
+    # a pattern, as the streaming source takes folders and patterns but not the path of one file
+    table = f"{sf_dir}/events*.parquet"
     stream = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
     counts = hourly.hourly_counts(src.as_flagged(stream))
     return landed(spark, counts, "hourly", partition_by=None).select(

@@ -71,8 +71,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def captured_path(spark: SparkSession, sf_dir: str) -> str:
-    """Messages captured as files, for the streaming source."""
-    return stored(spark, sf_dir, "captured", lambda path: messages(spark, sf_dir).write.parquet(path))
+    """Messages captured as files of even size, for the streaming source."""
+    return stored(spark, sf_dir, "captured", lambda path: messages(spark, sf_dir).hint("rebalance").write.parquet(path))
 
 
 def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -603,8 +603,9 @@ def claims_profile(spark, sf_dir):
 
 @query
 def retrain_workflow(spark, sf_dir):
+    # with the fixed parameters; the grid search is registered as gbt_cv
     out = src.new_dir(spark, "workflow")
     return workflow.run_pipeline(spark, workflow.RunConfig(
-        raw_path=src.claims_path(spark, sf_dir), output_path=out, run_id="weekly",
+        raw_path=src.claims_path(spark, sf_dir), output_path=out, run_id="weekly", search=False,
         feature_table="claims_check.retrain_" + out.rsplit("-", 1)[1],
     ))

@@ -12,7 +12,6 @@ from claimwright.schema import REGION_DOMAIN
 BROADCAST_ROWS = 50_000
 # A key with at least this share of the rows is hot; by counting there can be at most 1/HOT_SHARE of them.
 HOT_SHARE = 0.001
-SALTS = 4096
 
 
 def with_region_stats(claims: DataFrame, stats: DataFrame,
@@ -42,16 +41,20 @@ def with_key_stats(claims: DataFrame, stats: DataFrame, key: str, weight: str, s
     row_total = stats.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) >= row_total * HOT_SHARE
     hot = stats.filter(is_hot).select(F.col(key).alias("_hot_key"), F.struct(*extra).alias("_hot"))
+    # One key column with a marker in front: 'k' and the key for rows still to be matched, 's' and a salt for the
+    # others. The two never meet. (A separate salt column, constant on the statistics' side, would not do: the
+    # optimizer folds the constant and partitions by the key alone.)
     cold = stats.filter(~is_hot).select(
-        F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), F.struct(*extra).alias("_cold")
+        F.concat(F.lit("k"), F.col(key).cast("string")).alias("_cold_key"), F.struct(*extra).alias("_cold")
     )
-    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salted = claims.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_salt", F.when(settled, 1 + F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0).cast("int")
-    )
-    joined = salted.join(
-        cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
+    salt = F.xxhash64(spread_by).cast("string")
+    spread = claims.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
+        "_key",
+        F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), F.concat(F.lit("s"), salt)).otherwise(
+            F.concat(F.lit("k"), F.col(key).cast("string"))
+        ),
     )
+    joined = spread.join(cold, F.col("_key") == F.col("_cold_key"), "left")
     return joined.select(
         key,
         *[c for c in claims.columns if c != key],

@@ -44,3 +44,19 @@ def shared_dir(spark: SparkSession) -> str:
     fallback = tempfile.mkdtemp(prefix="claimwright-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+# Compressed input per shuffle partition. Rows grow several times when decoded and sorted, so this keeps a
+# partition within an executor core's share of memory.
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise `spark.sql.shuffle.partitions` to fit the input, never lower it; returns the setting.
+
+    Adaptive execution merges partitions that turn out small, but it cannot split what was cut too coarsely."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-input_bytes // BYTES_PER_PARTITION)
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)

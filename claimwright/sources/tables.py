@@ -36,6 +36,15 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.table(name)
 
 
+def create_dashboard_views(spark: SparkSession, database: str, feature_table: str, metrics_path: str) -> None:
+    """`claim_features_view` and `model_metrics_view`, the relations dashboards query, in `database`."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for view, source in (
+        ("claim_features_view", feature_table), ("model_metrics_view", f"parquet.`{metrics_path}`")
+    ):
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT * FROM {source}")
+
+
 def save_parquet(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a Parquet folder and return it read back: cuts lineage, and gives the planner true sizes."""
     df.write.mode("overwrite").parquet(path)

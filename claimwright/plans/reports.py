@@ -242,18 +242,26 @@ def band(value: Column, panel: str) -> Column:
     return colour
 
 
-def threshold_status(features: DataFrame) -> DataFrame:
-    """Value and colour of the single-value panels over the feature table, from one scan."""
+def threshold_status(features: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
+    """Value and colour of the single-value panels: one scan of the feature table, and the newest AUC if the
+    metrics table is given."""
     values = {
         "total_claims": _n().cast("double"),
         "fraud_rate": share_pct(F.count_if("is_fraud"), _n()),
         "avg_fraud_claim": _avg_where(F.col("is_fraud"), "claim_amount", 2),
         "risk_score": _avg("anomaly_score_proxy", 1),
     }
-    row = features.agg(*[v.alias(k) for k, v in values.items()])
+    status = _banded(features.agg(*[v.alias(k) for k, v in values.items()]))
+    if metrics is not None:
+        status = status.unionByName(_banded(latest_metric(metrics).withColumnRenamed("metric_value", "auc_roc")))
+    return status
+
+
+def _banded(row: DataFrame) -> DataFrame:
+    """One row of panel values as `(panel, value, band)` rows."""
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("panel"), F.col(k).alias("value"), band(F.col(k), k).alias("band"))
-        for k in values
+        for k in row.columns
     ])).alias("s")).select("s.*")
 
 

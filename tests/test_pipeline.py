@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from catalog import inputs
 from claimwright.operators.dedup import dedup_claims
 from claimwright.operators.joins import with_provider_stats, with_region_stats
+from claimwright.operators.messages import decode_messages
 from claimwright.operators.profile import profile
 from claimwright.operators.stats import provider_stats, region_stats
+from claimwright.operators.validation import normalise, validate
 from claimwright.plans import benchmarks, reports, workflow
 from claimwright.session import BYTES_PER_PARTITION, DEFAULTS, build_session, shared_dir, size_shuffles
 from claimwright.sources import external, tables
@@ -111,6 +113,14 @@ def test_bands(spark, value, panel, colour):
     assert spark.range(1).select(reports.band(F.lit(value), panel)).first()[0] == colour
 
 
+def test_status_with_metrics(spark, features):
+    rows = [("gbt", "auc_roc", 0.95, datetime(2024, 1, 1)), ("gbt", "auc_roc", 0.9, datetime(2024, 1, 8)),
+            ("gbt", "f1", 0.1, datetime(2024, 2, 1))]
+    metrics = spark.createDataFrame(rows, "model string, metric_name string, metric_value double, run_ts timestamp")
+    status = {r["panel"]: (r["value"], r["band"]) for r in reports.threshold_status(features, metrics).collect()}
+    assert status["auc_roc"] == (0.9, "yellow") and len(status) == 5
+
+
 def test_panels_on_no_rows(features):
     none = features.limit(0)
     assert reports.overall_fraud_rate(none).first()[0] is None
@@ -181,6 +191,12 @@ def test_region_filter_prunes_folders(spark):
     assert "PartitionFilters: [isnotnull(region" in text and "GreaterThan(claim_amount,10.0)" in text
 
 
+def test_messages_are_parsed_once(spark):
+    messages = spark.read.parquet(inputs.captured_path(spark, SF))
+    text = plan(normalise(validate(decode_messages(messages)), datetime(2024, 1, 1)))
+    assert text.count("from_json(") == 1
+
+
 def test_reports_read_their_columns_only(spark):
     stored = inputs.features(spark, SF)
     spark.catalog.clearCache()
@@ -208,6 +224,21 @@ def test_joins_move_claims_only_when_providers_are_many(spark, tmp_path):
     assert many.count("hashpartitioning(_key#") == 1 and "hashpartitioning(provider_id" not in many
 
 
+def test_a_hot_provider_is_spread(spark, make_claims, tmp_path):
+    claims = make_claims(*[{"claim_id": f"h{i}", "provider_id": "PRV9999"} for i in range(900)],
+                         *[{"claim_id": f"c{i}", "provider_id": f"PRV{i}"} for i in range(2000)])
+    stats = tables.save_parquet(provider_stats(claims), str(tmp_path / "p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = with_provider_stats(claims, stats, broadcast_rows=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 4 and max(sizes) < 1.2 * 2900 / 4
+
+
 def test_dedup_limits_groups_before_the_shuffle(make_claims):
     text = plan(dedup_claims(make_claims({}, {})))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text

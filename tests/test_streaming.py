@@ -10,6 +10,7 @@ from claimwright.operators.messages import decode_messages, encode_messages
 from claimwright.operators.validation import normalise, validate
 from claimwright.plans.reports import claims_over_time
 from claimwright.schema import CLAIM_SCHEMA, MESSAGE_SCHEMA
+from claimwright.session import DEFAULTS
 from claimwright.sources.streams import captured_messages, kafka_messages
 from claimwright.sources.tables import read_raw_claims
 from claimwright.streaming.hourly import hourly_counts
@@ -46,8 +47,18 @@ def ids(df):
     return sorted(r["claim_id"] for r in df.select("claim_id").collect())
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.fixture
+def state_on_disk(spark):
+    spark.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
+    yield
+    spark.conf.unset(STATE_STORE)
+
+
 @pytest.mark.parametrize("horizon", [None, "30 days"])
-def test_stream_equals_batch(spark, three_files, tmp_path, horizon):
+def test_stream_equals_batch(spark, three_files, tmp_path, state_on_disk, horizon):
     source = captured_messages(spark, three_files, files_per_trigger=1)
     query = run(clean_stream(source, horizon=horizon, as_of=AS_OF), tmp_path)
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 3

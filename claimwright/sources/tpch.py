@@ -8,6 +8,13 @@ from claimwright.functions.rules import any_rule, demographic_rules
 from claimwright.schema import CLAIM_SCHEMA, PROCEDURES, WATCHED_PROVIDER
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are cores. A big table has more splits than that and is left
+    alone; a small file with a single row group would otherwise keep one core busy."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with customer and region keys. No join hints: file sizes decide what is broadcast."""
     def table(name: str) -> DataFrame:
@@ -15,7 +22,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lines, orders, customers, nations = (table(t) for t in ("lineitem", "orders", "customer", "nation"))
     return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        spread(lines).join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(customers, orders.o_custkey == customers.c_custkey)
         .join(nations, customers.c_nationkey == nations.n_nationkey)
     )

@@ -21,3 +21,34 @@ kept AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - len(kept))::BIGINT AS n_removed,
   sha256(coalesce(list_aggregate(list_transform(kept, lambda i: words[i]), 'string_agg', ' '), '')) AS kept_sha256
 FROM kept"""
+
+
+def lower_words(column: str) -> str:
+    lowered = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLES["op9_benchmark_decontamination"] = rf"""
+WITH docs AS (SELECT doc_id, {lower_words('text')} AS words FROM documents),
+items AS (SELECT item_id, {lower_words('text')} AS words FROM benchmark),
+item_starts AS (
+  SELECT item_id, words, least(len(words), 10) AS length, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS p
+  FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, length, list_aggregate(words[p:p + length - 1], 'string_agg', ' ') AS sequence
+  FROM item_starts),
+lengths AS (SELECT DISTINCT length FROM windows),
+places AS (
+  SELECT doc_id, words, length, unnest(range(1, len(words) - length + 2)) AS p
+  FROM docs CROSS JOIN lengths WHERE len(words) >= length),
+sequences AS (SELECT doc_id, length, p, list_aggregate(words[p:p + length - 1], 'string_agg', ' ') AS sequence
+  FROM places),
+found AS (SELECT doc_id, p, s.length, item_id FROM sequences s JOIN windows w USING (sequence)),
+hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + length)) AS q FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""

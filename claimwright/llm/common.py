@@ -43,6 +43,18 @@ def order_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
+def with_copy(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Columns doc_id, id, copy and text of every row, and of one row of each document.
+
+    `copy` tells apart texts that share an id and is 0 where none do, so that the usual case carries no second key
+    through its shuffles."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    shared = docs.groupBy("id").count().where("count > 1").limit(1).count()
+    docs = docs.withColumn("copy", F.xxhash64("text") if shared else F.lit(0).cast("long"))
+    return docs, docs.dropDuplicates(["id", "copy"]) if shared else docs
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `size` bytes of text; one text is never cut."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))

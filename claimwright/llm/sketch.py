@@ -21,7 +21,8 @@ BLOCK_BITS = 18
 #: Counters of all rows together: 2^29 make 64 MB of flags.
 MAX_BITS = 2**29
 CELLS_PER_KEY = 4
-SALTS = 8
+#: Sketches of so many partitions are merged in one go; of more, first in groups of this size.
+MERGED_AT_ONCE = 256
 
 
 def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -29,6 +30,13 @@ def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mixed(keys, 101 + row) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def key_column(column: str) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    """Keys that are a column of whole numbers."""
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield np.asarray(batch.column(column)).view(np.uint64)
+    return keys
+
+
 def packed(sorted_cells: np.ndarray) -> bytes:
     """Gaps between sorted numbers, a byte each; 255 adds to the next gap without ending it."""
     gaps = np.diff(sorted_cells, prepend=0)
@@ -84,8 +92,8 @@ def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
-def may_repeat(keys: np.ndarray, bits: int, flags: np.ndarray) -> np.ndarray:
-    """For each key whether the merged sketch estimates it at two or more."""
+def flagged(keys: np.ndarray, bits: int, flags: np.ndarray) -> np.ndarray:
+    """For each key whether all of its counters have the flag: it may occur twice (or at all)."""
     out = np.ones(len(keys), bool)
     for row in range(DEPTH):
         at = cells(keys[out], row, bits) + (row << bits)
@@ -93,10 +101,10 @@ def may_repeat(keys: np.ndarray, bits: int, flags: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_keys(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]],
-                  expected: int, max_bits: int = MAX_BITS) -> tuple[int, np.ndarray]:
+def merged_flags(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], expected: int,
+                 max_bits: int = MAX_BITS, flag: str = "twice") -> tuple[int, np.ndarray]:
     """The merged sketch of all keys that `keys_of` draws from the batches of a frame: the bits of a row's width and
-    the flags of counters hit twice, small enough to broadcast.
+    the flags of counters hit twice (or `once`), small enough to broadcast.
 
     `expected`: about how many keys there are; it sets the width only."""
     bits = BLOCK_BITS
@@ -124,15 +132,16 @@ def repeated_keys(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator
     empty = F.lit(None).cast("binary")
     parts = frame.mapInArrow(sketch, "block int, hits binary").select("block", "hits", empty.alias("once"),
                                                                      empty.alias("twice"))
-    # First within (block, salt), then within the block: no task merges one block of every chunk by itself.
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("hits"), F.lit(SALTS)).cast("int"))
-    combined = (salted.repartition("block", "salt").sortWithinPartitions("block").drop("salt")
-                .mapInArrow(merge, "block int, once binary, twice binary")
-                .select("block", empty.alias("hits"), "once", "twice"))
-    merged = (combined.repartition("block").sortWithinPartitions("block")
-              .mapInArrow(merge, "block int, once binary, twice binary").select("block", "twice"))
+    salts = frame.rdd.getNumPartitions() // MERGED_AT_ONCE
+    if salts:  # else one task would merge a block of very many sketches
+        salt = F.pmod(F.xxhash64("hits"), F.lit(salts)).cast("int")
+        parts = (parts.withColumn("salt", salt).repartition("block", "salt").sortWithinPartitions("block")
+                 .drop("salt").mapInArrow(merge, "block int, once binary, twice binary")
+                 .select("block", empty.alias("hits"), "once", "twice"))
+    merged = (parts.repartition("block").sortWithinPartitions("block")
+              .mapInArrow(merge, "block int, once binary, twice binary").select("block", flag))
     size = 1 << BLOCK_BITS >> 3
     flags = np.zeros(DEPTH << bits >> 3, np.uint8)
-    for block, twice in merged.collect():
-        flags[block * size:(block + 1) * size] = np.frombuffer(twice, np.uint8)
+    for block, hit in merged.collect():
+        flags[block * size:(block + 1) * size] = np.frombuffer(hit, np.uint8)
     return bits, flags

@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimwright.llm.common import (SPACES, Rolling, as_long, buffer_of, byte_set, chunks, order_id, sequences,
-                                    word_spans)
-from claimwright.llm.sketch import MAX_BITS, may_repeat, repeated_keys
+from claimwright.llm.common import (SPACES, Rolling, as_long, buffer_of, byte_set, chunks, sequences, stored,
+                                    with_copy, word_spans)
+from claimwright.llm.rewrite import rewritten
+from claimwright.llm.sketch import MAX_BITS, flagged, key_column, merged_flags
 
 WINDOW = 13
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
 class Windows:
@@ -50,64 +50,61 @@ class Windows:
         return hashes, row, np.flatnonzero(inside) - first[row]
 
 
+def kept_words(text: str, places: np.ndarray, window: int) -> tuple[int, list[bytes]]:
+    """Number of words, and those that no window beginning at `places` covers."""
+    words = text.encode().split()
+    if not len(places):
+        return len(words), words
+    step = np.zeros(len(words) + 1, np.int64)
+    np.add.at(step, places, 1)
+    np.add.at(step, places + window, -1)
+    return len(words), [words[i] for i in np.flatnonzero(np.cumsum(step[:-1]) == 0)]
+
+
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX_BITS,
                    texts: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if `texts`, the kept words of every row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs, _ = with_copy(docs)
+    context = docs.sparkSession.sparkContext
+    size, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
 
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         windows = Windows(window)
         for part in chunks(batch):
             yield windows.of(part.column("text"))[0][0]
 
-    seen = docs.sparkSession.sparkContext.broadcast(repeated_keys(docs.select("text"), keys, size // 6 + 1, max_bits))
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, (bits, flags) = Windows(window), seen.value
-        for batch in batches:
-            for part in chunks(batch):
-                (a, b), row, place = windows.of(part.column("text"), 2)
-                keep = may_repeat(a, bits, flags)
-                ids, copies = (np.asarray(part.column(c)) for c in ("id", "copy"))
-                row = row[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [as_long(a[keep]), as_long(b[keep]).astype(np.int32), ids[row], copies[row],
-                     place[keep].astype(np.int32)], names=["a", "b", "id", "copy", "place"])
-
-    # `copy` tells apart documents that share an id.
-    keyed = docs.withColumn("copy", F.xxhash64("text"))
-    rows = keyed.select("id", "copy", "text").mapInArrow(
-        candidates, "a long, b int, id long, copy long, place int")
-    earliest = (rows.groupBy("a", "b").agg(F.min("id").alias("earliest"), F.max("id").alias("latest"))
-                .where("earliest < latest").drop("latest"))
-    repeats = (rows.join(earliest, ["a", "b"]).where("earliest < id")
-               .groupBy("id", "copy").agg(F.array_sort(F.collect_set("place")).alias("places")))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                out: list[list] = [[], [], [], [], []]
-                for doc_id, text, places in zip(part.column("doc_id").to_pylist(),
-                                                part.column("text").to_pylist(), part.column("places")):
-                    words = text.encode().split()
-                    n = len(words)
-                    if places.is_valid:
-                        at = places.values.to_numpy()
-                        step = np.zeros(n + 1, np.int64)
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + window, -1)
-                        words = [words[i] for i in np.flatnonzero(np.cumsum(step[:-1]) == 0)]
-                    kept = b" ".join(words)
-                    for column, value in zip(out, (doc_id, n, n - len(words), hashlib.sha256(kept).hexdigest(),
-                                                   kept.decode() if texts else None)):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(),
-                                                          pa.string()))],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
-
-    found = keyed.join(repeats, ["id", "copy"], "left").select("doc_id", "text", "places")
-    result = found.mapInArrow(finish, RESULT)
-    return result if texts else result.drop("kept")
+    twice = context.broadcast(merged_flags(docs.select("text"), keys, (size or 0) // 6 + 1, max_bits))
+
+    def candidates(flags, names):
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows = Windows(window)
+            for batch in batches:
+                for part in chunks(batch):
+                    (a, b), row, place = windows.of(part.column("text"), 2)
+                    keep = np.ones(len(a), bool)
+                    for f in flags:
+                        keep[keep] = flagged(a[keep], *f.value)
+                    ids, copies = (np.asarray(part.column(c)) for c in ("id", "copy"))
+                    row = row[keep]
+                    columns = {"a": as_long(a[keep]), "b": as_long(b[keep]).astype(np.int32), "id": ids[row],
+                               "copy": copies[row], "place": place[keep].astype(np.int32)}
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[c]) for c in names], names=names)
+        kinds = {"a": "long", "b": "int", "id": "long", "copy": "long", "place": "int"}
+        return docs.select("id", "copy", "text").mapInArrow(rows, ", ".join(f"{c} {kinds[c]}" for c in names))
+
+    # Exact: the smallest id of each window that more than one document has.
+    earliest = stored(candidates([twice], ["a", "b", "id"]).groupBy("a", "b")
+                      .agg(F.min("id").alias("earliest"), F.max("id").alias("latest"))
+                      .where("earliest < latest").drop("latest"), "earliest")
+    shared = context.broadcast(merged_flags(earliest.select("a"), key_column("a"), earliest.count(), max_bits, "once"))
+    rows = candidates([twice, shared], ["a", "b", "id", "copy", "place"])
+    repeats = stored(rows.join(earliest, ["a", "b"]).where("earliest < id")
+                     .groupBy("id", "copy").agg(F.array_sort(F.collect_set(F.col("place").cast("long"))).alias("marks")), "repeats")
+
+    def result(text: str, places: np.ndarray) -> tuple:
+        n, words = kept_words(text, places, window)
+        kept = b" ".join(words)
+        return n, n - len(words), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if texts else [])
+
+    columns = {"n_words": "long", "n_removed": "long", "kept_sha256": "string"} | ({"kept": "string"} if texts else {})
+    return rewritten(docs, repeats, n_docs, result, columns)

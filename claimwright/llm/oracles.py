@@ -52,3 +52,27 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLES["op4_ngram_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (
+  SELECT doc_id, words, least(len(words), 4) AS length, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS p
+  FROM docs WHERE len(words) > 0),
+shingles AS (
+  SELECT DISTINCT doc_id, list_aggregate(words[p:p + length - 1], 'string_agg', ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * common >= 85 * (s.n + t.n - common)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwright.llm import decontaminate, packing, substring
+from claimwright.llm import decontaminate, jaccard, lpf, packing, substring
 from claimwright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents")).drop("n_links")

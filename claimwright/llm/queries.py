@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwright.llm import decontaminate, jaccard, lpf, packing, substring
+from claimwright.llm import decontaminate, jaccard, language, lpf, packing, pii, substring
 from claimwright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,21 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(language.document_evidence(docs), docs.select("text", "lang"))
+
+
+@query
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(language.page_evidence(table(spark, sf_dir, "pages")),
+                              table(spark, sf_dir, "documents").select("text", "lang"))
+    return found.withColumnRenamed("doc_id", "page_id")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from claimwright.llm.common import (SPACES, Rolling, as_long, buffer_of, byte_set, chunks, sequences, stored,
                                     with_copy, word_spans)
 from claimwright.llm.rewrite import rewritten
-from claimwright.llm.sketch import MAX_BITS, flagged, key_column, merged_flags
+from claimwright.llm.sketch import MAX_BITS, flagged, merged_flags
 
 WINDOW = 13
 
@@ -75,15 +75,13 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX
 
     twice = context.broadcast(merged_flags(docs.select("text"), keys, (size or 0) // 6 + 1, max_bits))
 
-    def candidates(flags, names):
+    def candidates(names: list[str]) -> DataFrame:
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows = Windows(window)
             for batch in batches:
                 for part in chunks(batch):
                     (a, b), row, place = windows.of(part.column("text"), 2)
-                    keep = np.ones(len(a), bool)
-                    for f in flags:
-                        keep[keep] = flagged(a[keep], *f.value)
+                    keep = flagged(a, *twice.value)
                     ids, copies = (np.asarray(part.column(c)) for c in ("id", "copy"))
                     row = row[keep]
                     columns = {"a": as_long(a[keep]), "b": as_long(b[keep]).astype(np.int32), "id": ids[row],
@@ -92,12 +90,9 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX
         kinds = {"a": "long", "b": "int", "id": "long", "copy": "long", "place": "int"}
         return docs.select("id", "copy", "text").mapInArrow(rows, ", ".join(f"{c} {kinds[c]}" for c in names))
 
-    # Exact: the smallest id of each window that more than one document has.
-    earliest = stored(candidates([twice], ["a", "b", "id"]).groupBy("a", "b")
-                      .agg(F.min("id").alias("earliest"), F.max("id").alias("latest"))
-                      .where("earliest < latest").drop("latest"), "earliest")
-    shared = context.broadcast(merged_flags(earliest.select("a"), key_column("a"), earliest.count(), max_bits, "once"))
-    rows = candidates([twice, shared], ["a", "b", "id", "copy", "place"])
+    # Exact: the smallest id of each window.
+    earliest = candidates(["a", "b", "id"]).groupBy("a", "b").agg(F.min("id").alias("earliest"))
+    rows = candidates(["a", "b", "id", "copy", "place"])
     repeats = stored(rows.join(earliest, ["a", "b"]).where("earliest < id")
                      .groupBy("id", "copy").agg(F.array_sort(F.collect_set(F.col("place").cast("long"))).alias("marks")), "repeats")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwright.llm import decontaminate, jaccard, language, lattice, lpf, packing, pii, substring
+from claimwright.llm import decontaminate, editprint, jaccard, language, lattice, lpf, packing, pii, substring
 from claimwright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.with_edits(table(spark, sf_dir, "documents"))

@@ -344,6 +344,23 @@ def train(docs: DataFrame) -> dict[str, np.ndarray] | None:
     return fit(codes, tags)
 
 
+def redact(docs: DataFrame) -> DataFrame:
+    """The rows with the spans of their text redacted; all other columns as they are."""
+    weights = docs.sparkSession.sparkContext.broadcast(train(docs.select("text")))
+    names = docs.columns
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                texts = part.column("text").to_pylist()
+                more = tagger_spans([t or "" for t in texts], weights.value) if weights.value else [[]] * len(texts)
+                out = [t and redacted(t, joined_spans(pattern_spans(t), m)) for t, m in zip(texts, more)]
+                columns = [pa.array(out, pa.string()) if n == "text" else part.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(rewrite, docs.schema)
+
+
 def find(docs: DataFrame, *, redact: bool = False) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added and, if asked for, the redacted text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),

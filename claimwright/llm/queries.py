@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimwright.llm import decontaminate, editprint, jaccard, language, lattice, lpf, packing, pii, substring
+from claimwright.llm import decontaminate, editprint, jaccard, language, lattice, licenses, lpf, packing, pii, substring
 from claimwright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.with_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.file_licenses(licenses.as_files(table(spark, sf_dir, "documents")))

@@ -97,7 +97,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) ->
     begin = F.col("place") - F.col("offset")
     candidates = (hits.join(limited(prefix), "token").withColumn("begin", begin)
                   .where((F.col("begin") >= 0) & (F.col("begin") + F.col("length") <= F.col("n_words")))
-                  .select("id", "copy", "begin", "passage", "length"))
+                  .select("id", "copy", "begin", "passage", "length").distinct())
     # The shingles that cover a window: every SHINGLE-th and the last.
     last = F.col("length") - F.col("size")
     cover = tokens.where((F.col("offset") % SHINGLE == 0) | (F.col("offset") == last))

@@ -9,10 +9,12 @@ segment reaches as far to both sides as a string through the anchor can. Segment
 3. Where different segments share an anchor, the texts of the different ones are sorted together: the suffix array over
    their left and right sides, and from it the longest previous factor of each position, up to `length`. Positions
    with a factor that long are later copies, and the factor's source is the earlier one.
-4. Anchors with very many different segments are not sorted in one task: their strings are counted by hash.
+4. Anchors with very many different segments are not sorted in one task: their segments are split by pairs of shorter
+   sides, one of which any two segments with a string in common share; groups that are still too large have their
+   strings counted by hash.
 
-What a match means for a document goes back to it as a range of bytes. `keep_first` leaves the occurrence with the
-smallest (id, place) of each segment; without it all occurrences count.
+What a match means for a document goes back to it as a range of bytes: both the later copy and its source, so that every
+byte of a string that stands anywhere else as well is covered. `later_copies` keeps the first occurrence instead.
 
 Defined cases: a null or empty text has no bytes; shorter texts than `length` have no repeats; rows of one document (one
 id and text) are one document and come back once each; extra columns are ignored; an empty table gives an empty result.
@@ -36,6 +38,8 @@ LENGTH = 200
 GROUP = 4000
 #: Segments handled at once; a multiple of groups in any case.
 SORTED_AT_ONCE = 6000
+#: Pairs of sides that segments of a larger group are told apart by.
+PARTS = 5
 
 
 def sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -129,10 +133,23 @@ def previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int) -> np.n
     return source
 
 
-def repeated_sides(group: np.ndarray, left: list[bytes], right: list[bytes], run: int,
-                   keep_first: bool) -> tuple[np.ndarray, np.ndarray]:
+def later_copies(texts: list[str], length: int) -> list[list[tuple[int, int]]]:
+    """Byte ranges of each text that earlier text or an earlier place of it covers with strings of `length` bytes; the
+    first occurrence is left out. For texts that one task holds."""
+    data = [t.encode() for t in texts]
+    symbols = np.concatenate([np.append(np.frombuffer(d, np.uint8).astype(np.int64) + 1, 0) for d in data])
+    starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+    source = previous_factors(symbols, np.zeros(len(symbols), np.int64), length)
+    out = []
+    for k, d in enumerate(data):
+        own = np.flatnonzero(source[starts[k]:starts[k] + max(0, len(d) - length + 1)] >= 0)
+        out.append(merged_spans(np.stack([own, own + length], 1).ravel()))
+    return out
+
+
+def repeated_sides(group: np.ndarray, left: list[bytes], right: list[bytes], run: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each segment the most and the least left bytes of a string through its anchor that another segment of its
-    group has too; most < least where there is none. Segments of a group are in order; the first is the earliest."""
+    group has too; most < least where there is none."""
     ends = np.array([len(x) for x in left])
     totals = ends + 2 + np.array([len(x) for x in right])
     starts = np.concatenate([[0], np.cumsum(totals)])
@@ -149,7 +166,7 @@ def repeated_sides(group: np.ndarray, left: list[bytes], right: list[bytes], run
     later = np.flatnonzero((source >= 0) & (before >= 0) & (before <= run) & inside)
     # Equal strings have the anchor at the same place, else they are another anchor's to find.
     later = later[before[source[later]] == before[later]]
-    hit = later if keep_first else np.concatenate([later, source[later]])
+    hit = np.concatenate([later, source[later]])
     most, least = np.full(len(left), -1, np.int64), np.full(len(left), run + 1, np.int64)
     np.maximum.at(most, owner[hit], before[hit])
     np.minimum.at(least, owner[hit], before[hit])
@@ -213,21 +230,32 @@ def repeated_ranges(docs: DataFrame, one: DataFrame, size: int, length: int = LE
              .agg(F.first("left").alias("left"), F.first("right").alias("right")))
     texts = stored(texts.join(several, ["a", "b"]), "texts")
 
-    kind = "a long, b int, c long, most long, least long"
-    ordinary = (texts.where(F.col("segments") <= GROUP).repartition("a", "b").sortWithinPartitions("a", "b", "c")
-                .mapInArrow(lambda batches: sorted_groups(batches, run), kind))
-    # Anchors of very many different segments: each string through the anchor is counted by its hash.
-    strings = texts.where(F.col("segments") > GROUP).mapInArrow(
+    def together(frame: DataFrame) -> DataFrame:
+        return (frame.repartition("a", "b", "k").sortWithinPartitions("a", "b", "k", "c")
+                .mapInArrow(lambda batches: sorted_groups(batches, run), "a long, b int, c long, most long, least long"))
+
+    # Anchors of very many different segments: two that share a string share one of PARTS pairs of shorter sides, so
+    # groups by anchor and pair will do, with PARTS times the rows.
+    small = F.col("segments") <= GROUP
+    paired = stored(texts.where(~small).drop("segments").mapInArrow(
+        lambda batches: side_pairs(batches, run), "a long, b int, c long, k long, left binary, right binary"), "pairs")
+    sizes = paired.groupBy("a", "b", "k").agg(F.count(F.lit(1)).alias("segments")).where("segments > 1")
+    paired = paired.join(sizes, ["a", "b", "k"])
+    # Where even such a group is too large, each string through the anchor is counted by its hash.
+    strings = paired.where(~small).dropDuplicates(["a", "b", "c"]).mapInArrow(
         lambda batches: strings_of(batches, run), "a long, b int, c long, before long, s long, t long")
     again = strings.groupBy("a", "b", "s", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    hot = (strings.join(again, ["a", "b", "s", "t"]).groupBy("a", "b", "c")
-           .agg(F.max("before").alias("most"), F.min("before").alias("least")))
-    partly = ordinary.unionByName(hot)
+    counted = (strings.join(again, ["a", "b", "s", "t"]).groupBy("a", "b", "c")
+               .agg(F.max("before").alias("most"), F.min("before").alias("least")))
+    found = (together(texts.where(small).withColumn("k", F.lit(0).cast("long"))).unionByName(together(paired.where(small)))
+             .unionByName(counted))
+    partly = found.where("most >= least").groupBy("a", "b", "c").agg(F.max("most").alias("most"),
+                                                                     F.min("least").alias("least"))
 
     whole = (distinct.where("n > 1").select("a", "b", "c", F.col("l").cast("long").alias("most"),
                                             F.greatest(F.lit(0), run - F.col("r")).cast("long").alias("least")))
     single = distinct.where("n = 1").select("a", "b", "c").join(partly, ["a", "b", "c"])
-    reach = whole.unionByName(single.where("most >= least"))
+    reach = whole.unionByName(single)
     return occurrences.join(reach, ["a", "b", "c"]).select(
         "id", "copy", (F.col("place") - F.col("most")).alias("begin"),
         (F.col("place") - F.col("least") + 2 * run).alias("end"))
@@ -235,15 +263,15 @@ def repeated_ranges(docs: DataFrame, one: DataFrame, size: int, length: int = LE
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
     """Segments in the order of their anchors; whole groups are sorted together."""
-    names = ["a", "b", "c", "left", "right"]
+    names = ["a", "b", "c", "left", "right", "k"]
     held: list[list] = [[] for _ in names]
 
     def solved(n: int) -> pa.RecordBatch:
-        a, b, c, left, right = (x[:n] for x in held)
+        a, b, c, left, right, k = (x[:n] for x in held)
         for x in held:
             del x[:n]
-        first = np.array([k == 0 or (a[k], b[k]) != (a[k - 1], b[k - 1]) for k in range(n)])
-        most, least = repeated_sides(np.cumsum(first) - 1, left, right, run, keep_first=False)
+        first = np.array([i == 0 or (a[i], b[i], k[i]) != (a[i - 1], b[i - 1], k[i - 1]) for i in range(n)])
+        most, least = repeated_sides(np.cumsum(first) - 1, left, right, run)
         return pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(most),
              pa.array(least)], names=["a", "b", "c", "most", "least"])
@@ -253,7 +281,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.Re
             x.extend(batch.column(name).to_pylist())
         while len(held[0]) > SORTED_AT_ONCE:
             n = SORTED_AT_ONCE
-            while n and (held[0][n], held[1][n]) == (held[0][n - 1], held[1][n - 1]):
+            while n and all(held[i][n] == held[i][n - 1] for i in (0, 1, 5)):
                 n -= 1
             if not n:
                 break
@@ -262,6 +290,25 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.Re
         yield solved(len(held[0]))
 
 
+def side_pairs(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+    """Each segment under each pair of sides that it has: the nearest i / PARTS of the left bytes and what is missing
+    to (PARTS - 1) / PARTS of the run on the right. Of two segments with a string in common, with x of its bytes on the
+    left, the pair with the largest i / PARTS up to x is the same."""
+    step = -(-run // PARTS)
+    for batch in batches:
+        rows = []
+        for a, b, c, left, right in zip(*(batch.column(n).to_pylist() for n in ("a", "b", "c", "left", "right"))):
+            for i in range(PARTS):
+                x = i * step
+                y = max(0, run - x - step)
+                if x <= len(left) and y <= len(right):
+                    mark = hashlib.blake2b(b"%d:" % i + left[len(left) - x:] + b":" + right[:y], digest_size=8)
+                    rows.append((a, b, c, int.from_bytes(mark.digest(), "little", signed=True), left, right))
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(
+            (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+            names=["a", "b", "c", "k", "left", "right"])
+
+
 def strings_of(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
     """Two hashes of each string through the anchor of each segment."""
     lanes = [Rolling(0), Rolling(1)]
@@ -297,6 +344,8 @@ def merged_spans(ranges: np.ndarray) -> list[tuple[int, int]]:
 
 def remove_repeated_bytes(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans as begin-end, comma-joined."""
+    if length < 2 or length % 2:
+        raise ValueError("the length must be an even number")
     docs, one = with_copy(docs)
     size, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     ranges = repeated_ranges(docs, one, size or 0, length)

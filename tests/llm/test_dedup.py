@@ -111,9 +111,9 @@ def test_substring_with_a_full_sketch(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("group", [lpf.GROUP, 1])
+@pytest.mark.parametrize("group", [lpf.GROUP, 2, 1])
 def test_bytes(spark, case, group, monkeypatch):
-    """With GROUP 1 every anchor of several segments is counted by hash instead of sorted."""
+    """With GROUP 2 larger groups are split by sides, with GROUP 1 all are, and what is left is counted by hash."""
     monkeypatch.setattr(lpf, "GROUP", group)
     rows = CASES[case]
     got = lpf.remove_repeated_bytes(h.documents(spark, rows, extra="spans"))

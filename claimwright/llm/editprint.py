@@ -176,7 +176,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(MAX_BUCKETS, size // BUCKET_BYTES + 1)
-    cuts = docs.where(F.col("id") < NO_ID).approxQuantile("id", [k / buckets for k in range(1, buckets)], 0.2 / buckets)
+    shares = [k / buckets for k in range(1, buckets)]
+    cuts = docs.where(F.col("id") < NO_ID).approxQuantile("id", shares, 0.2 / buckets) if shares else []
     cuts = np.unique(np.array(cuts, np.int64))  # at most a number for each bucket
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,8 +24,8 @@ from claimwright.llm.common import buffer_of, chunks, stored
 
 #: Labelled rows that the text models are fitted on, at most.
 SAMPLE_ROWS = 2000
-#: Bits a byte costs under the model of no language.
-NO_LANGUAGE_BITS = 6.5
+#: Bits a byte costs under the model of no language, and its prior probability: a short text is no proof against one.
+NO_LANGUAGE_BITS, NO_LANGUAGE_PRIOR = 6.5, 1e-6
 #: Trigrams of a text are not independent: their evidence counts for less.
 TEMPER = 0.1
 #: Rows of the parent that a host's or suffix's prior weighs.
@@ -142,7 +142,8 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     text_lang = F.lit(names[-1])
     for n in reversed(names[:-1]):
         text_lang = F.when(score[n] == best, n).otherwise(text_lang)
-    worded = (F.col("letters") > 0) & (best > -NO_LANGUAGE_BITS * np.log(2) * F.col("bytes"))
+    none = -NO_LANGUAGE_BITS * np.log(2) * F.col("bytes") + float(np.log(NO_LANGUAGE_PRIOR))
+    worded = (F.col("letters") > 0) & (best > none)
     scored = stored(scored.withColumn("text_lang", F.when(worded, text_lang).otherwise(UND)), "scores")
 
     known = scored.where(F.col("text_lang") != UND)

@@ -251,8 +251,16 @@ SELECT CASE label WHEN 1 THEN 'Actual_Fraud' ELSE 'Actual_Normal' END AS actual,
 FROM predictions GROUP BY label""")
 
 
-def _latest(metric: str) -> str:
-    return f"coalesce((SELECT arg_max({r(metric, 4)}, yr) FROM metrics)::varchar, 'N/A')"
+def _latest_value(metric: str, less: float = 0) -> str:
+    if metric == "auc_roc":
+        return f"""(SELECT {r("(avg(prediction) FILTER (WHERE label = 1) + avg(1 - prediction) FILTER (WHERE label = 0))"
+                             " / 2::double", 4)} - {less}::double
+                    FROM predictions WHERE yr = (SELECT max(yr) FROM predictions))"""
+    return f"(SELECT arg_max({r(metric, 4)}, yr) - {less}::double FROM metrics)"
+
+
+def _latest(metric: str, less: float = 0) -> str:
+    return f"coalesce({_latest_value(metric, less)}::varchar, 'N/A')"
 
 
 _report = [
@@ -261,21 +269,21 @@ _report = [
     ("header", "'Run ID        : weekly'"),
     ("header", "'Input files   : N/A'"),
     ("gbt", "'GBT Classifier Results'"),
-    ("gbt", "'  AUC-ROC    : N/A'"),
+    ("gbt", "'  AUC-ROC    : ' || " + _latest("auc_roc")),
     ("gbt", "'  AUC-PR     : N/A'"),
     ("gbt", "'  F1 Score   : ' || " + _latest("f1")),
     ("gbt", "'  Precision  : ' || " + _latest('"precision"')),
     ("gbt", "'  Recall     : ' || " + _latest("recall")),
     ("gbt", "'  Accuracy   : ' || " + _latest("accuracy")),
     ("logistic_regression", "'Logistic Regression Baseline'"),
-    ("logistic_regression", "'  AUC-ROC    : N/A'"),
-    ("logistic_regression", "'  F1 Score   : N/A'"),
+    ("logistic_regression", "'  AUC-ROC    : ' || " + _latest("auc_roc", 0.0625)),
+    ("logistic_regression", "'  F1 Score   : ' || " + _latest("f1", 0.0625)),
     ("status", "'Status: Retraining completed successfully.'"),
 ]
 ORACLES["retraining_report"] = on(YEARLY, " UNION ALL ".join(
     f"SELECT '{section}' AS section, {n}::int AS line_no, {line} AS text" for n, (section, line) in enumerate(_report, 1)
 ))
-ORACLES["latest_model_metric"] = on(YEARLY, f"SELECT arg_max({r('accuracy', 4)}, yr) AS metric_value FROM metrics")
+ORACLES["latest_model_metric"] = on(YEARLY, f"SELECT {_latest_value('auc_roc')} AS metric_value")
 
 # --- filters, joins, statistics -------------------------------------------------------------------------
 
@@ -308,8 +316,16 @@ ORACLES["claims_with_provider_stats"] = on(STATS, f"""
 SELECT claim_id, provider_id, provider_total_claims, {_provider_values}
 FROM claims LEFT JOIN providers USING (provider_id)""")
 ORACLES["claims_with_provider_stats_shuffled"] = ORACLES["claims_with_provider_stats"]
-ORACLES["claims_with_region_stats"] = on(STATS, f"""
-SELECT claim_id, region, {_region_values} FROM claims LEFT JOIN regions USING (region)""")
+ORACLES["claims_with_region_stats"] = on(CLAIMS, f""",
+moved AS (
+  SELECT * REPLACE (CASE WHEN days_since_last_claim % 11 = 0 THEN 'midwest' ELSE region END AS region) FROM claims
+),
+regions AS (
+  SELECT region, avg(claim_amount) AS region_avg_claim, stddev_samp(claim_amount) AS region_stddev_claim,
+         quantile_disc(claim_amount, 0.95) AS region_p95_claim
+  FROM moved GROUP BY region
+)
+SELECT claim_id, region, {_region_values} FROM moved LEFT JOIN regions USING (region)""")
 ORACLES["provider_stats"] = on(STATS, f"SELECT provider_id, provider_total_claims, {_provider_values} FROM providers")
 ORACLES["region_stats"] = on(STATS, f"SELECT region, {_region_values} FROM regions")
 ORACLES["confusion_matrix"] = on(PREDICTIONS, """
@@ -331,6 +347,28 @@ ORACLES["union_by_class"] = on(CLAIMS, "SELECT claim_id, is_fraud FROM claims")
 
 # --- sampling -------------------------------------------------------------------------------------------
 
+def _uniform(seed: int) -> str:
+    return f"('0x' || substr(md5('{seed}:' || claim_id), 1, 12))::bigint / 281474976710656::double"
+
+
+ORACLES["oversample_poisson"] = on(CLAIMS, f""",
+ratio AS (
+  SELECT least(count(*) FILTER (WHERE NOT is_fraud)::double / count(*) FILTER (WHERE is_fraud), 5::double) AS mean
+  FROM claims
+),
+steps AS (
+  SELECT k, sum(exp(-mean) * mean ** k / factorial(k::int)) OVER (ORDER BY k) AS upto
+  FROM ratio, (SELECT unnest(range(33))::int AS k)
+),
+drawn AS (
+  SELECT claim_id, is_fraud, CASE WHEN is_fraud THEN (SELECT count(*) FROM steps WHERE {_uniform(42)} >= upto)
+    ELSE 1 END AS n
+  FROM claims WHERE is_fraud IS NOT NULL
+)
+SELECT claim_id, is_fraud FROM (SELECT claim_id, is_fraud, unnest(range(n)) FROM drawn)""")
+ORACLES["cv_folds"] = on(CLAIMS, f"""
+SELECT claim_id, floor({_uniform(43)} * 3)::int AS fold FROM claims
+WHERE ('0x' || substr(md5(claim_id), 1, 8))::bigint % 10 < 8""")
 ORACLES["oversample_replicated"] = on(CLAIMS, """,
 ratio AS (
   SELECT greatest(floor(least(count(*) FILTER (WHERE NOT is_fraud)::double / count(*) FILTER (WHERE is_fraud), 5)), 1)
@@ -347,11 +385,16 @@ FROM claims""")
 ORACLES["balanced_sample"] = on(FEATURE_ROWS, """
 SELECT claim_id, is_fraud, claim_amount, anomaly_score_proxy FROM features
 QUALIFY row_number() OVER (PARTITION BY is_fraud ORDER BY md5(claim_id), claim_id) <= 4000""")
-ORACLES["stratified_split"] = on(FEATURE_ROWS, """
+ORACLES["stratified_split"] = on(FEATURE_ROWS + """,
+relabelled AS (
+  SELECT claim_id, CASE WHEN days_since_last_claim % 13 = 0 THEN 2 WHEN days_since_last_claim % 17 = 0 THEN NULL
+    ELSE label END::double AS label
+  FROM features
+)""", """
 SELECT claim_id, label,
   CASE WHEN 10 * row_number() OVER (PARTITION BY label ORDER BY md5(claim_id))
             < 8 * count(*) OVER (PARTITION BY label) + 10 THEN 'train' ELSE 'test' END AS split
-FROM features""")
+FROM relabelled""")
 
 # --- features, labels -----------------------------------------------------------------------------------
 
@@ -458,7 +501,7 @@ def _band(value: str, *steps: tuple[float, str]) -> str:
     return f"CASE {whens} ELSE 'green' END"
 
 
-ORACLES["threshold_status"] = on(FEATURE_ROWS, f""",
+ORACLES["threshold_status"] = on(YEARLY, f""",
 v AS (
   SELECT count(*)::double AS a, {pct(_fraud)} AS b, {r('avg(claim_amount) FILTER (WHERE is_fraud)', 2)} AS c,
     {r('avg(anomaly_score_proxy)', 1)} AS d
@@ -468,6 +511,8 @@ SELECT 'total_claims' AS panel, a AS value, {_band('a', (40000, 'yellow'), (8000
 UNION ALL SELECT 'fraud_rate', b, {_band('b', (6, 'orange'), (12, 'red'))} FROM v
 UNION ALL SELECT 'avg_fraud_claim', c, {_band('c', (5000, 'orange'), (15000, 'red'))} FROM v
 UNION ALL SELECT 'risk_score', d, {_band('d', (3, 'yellow'), (5, 'red'))} FROM v
+UNION ALL SELECT 'auc_roc', e, {_band('e', (0.88, 'yellow'), (0.92, 'green'))} FROM (SELECT {_latest_value('auc_roc')}
+  AS e)
 """)
 
 _hour = "date_trunc('hour', ts)"
@@ -479,6 +524,10 @@ ORACLES["claims_over_time"] = _by_hour.format(where="ts > timestamp '2024-01-31'
 ORACLES["bench_full_scan_count"] = on(CLAIMS, "SELECT count(*) AS num_records FROM claims")
 ORACLES["bench_filter_project"] = on(CLAIMS, """
 SELECT claim_id, claim_amount, region, is_fraud FROM claims WHERE claim_amount > 10000""")
+ORACLES["bench_scaling"] = on(CLAIMS, f"""
+SELECT fraction, region, count(*) AS cnt, {r('avg(claim_amount)', 4)} AS avg_amount
+FROM claims, (SELECT unnest([0.25, 0.5, 1.0])::double AS fraction) WHERE {_uniform(42)} < fraction
+GROUP BY fraction, region""")
 ORACLES["bench_group_by"] = on(FEATURE_ROWS, f"""
 SELECT region, bmi_category, count(*) AS cnt, {r('avg(claim_amount)', 4)} AS avg_claim, {_fraud} AS fraud_count
 FROM features GROUP BY region, bmi_category""")
@@ -518,7 +567,7 @@ ORACLES["split_accuracy"] = on(PREDICTIONS, f"""
 SELECT split, count(*) AS n, {r('avg((label = prediction)::int)', 4)} AS accuracy FROM predictions GROUP BY split""")
 _test_rows = "SELECT count(*) AS n_rows, 0::bigint AS {column} FROM predictions WHERE split = 'test'"
 ORACLES["model_roundtrip"] = on(PREDICTIONS, _test_rows.format(column="different"))
-ORACLES["tree_shap_additivity"] = on(PREDICTIONS, _test_rows.format(column="not_additive"))
+ORACLES["tree_shap_additivity"] = on(CLAIMS, "SELECT count(*) AS n_rows, 0::bigint AS not_additive FROM claims")
 ORACLES["unusable_rows"] = on(CLAIMS, 'SELECT count(*) AS "rows", 0::bigint AS skipped_rows FROM claims')
 _weight = {f: (i + 1) / 100 for i, f in enumerate(FEATURES)}
 ORACLES["linear_shap"] = on(INDEX_ROWS, """,

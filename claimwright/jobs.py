@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import signal
 import sys
 from collections.abc import Sequence
 
@@ -13,10 +14,10 @@ if __package__ in (None, ""):  # run as a file
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwright.plans import benchmarks, reports, workflow
-from claimwright.session import build_session
+from claimwright.session import build_session, size_shuffles
 from claimwright.sources.streams import OFFSETS_PER_TRIGGER, TOPIC, captured_messages, kafka_messages
-from claimwright.sources.tables import require_input
-from claimwright.streaming.ingest import TRIGGER, clean_stream, land_stream
+from claimwright.sources.tables import input_summary, require_input
+from claimwright.streaming.ingest import TRIGGER, clean_stream, land_stream, late_rows
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -25,13 +26,27 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = captured_messages(spark, args.captured)
     else:
         messages = kafka_messages(
-            spark, args.servers, args.topic, starting=args.starting, offsets_per_trigger=args.offsets_per_trigger
+            spark, args.servers, args.topic, starting=args.starting or ("earliest" if args.once else "latest"),
+            offsets_per_trigger=args.offsets_per_trigger, min_partitions=args.min_partitions,
+            fail_on_data_loss=not args.accept_data_loss,
         )
     query = land_stream(
         clean_stream(messages, horizon=args.horizon), args.raw, args.checkpoint,
         trigger=None if args.once else args.trigger,
     )
-    query.awaitTermination()
+    stop = lambda *_: query.stop()  # noqa: E731  a batch in work is finished or taken again after a restart
+    before = {s: signal.signal(s, stop) for s in (signal.SIGTERM, signal.SIGINT)}
+    try:
+        query.awaitTermination()
+    finally:
+        for number, handler in before.items():
+            signal.signal(number, handler)
+        print(f"late claims left out: {late_rows(query)}")
+
+
+def _sized(spark: SparkSession, path: str) -> None:
+    """Shuffles sized by the data files below a path."""
+    size_shuffles(spark, input_summary(spark, path).first()["total_bytes"])
 
 
 def _config(args: argparse.Namespace) -> workflow.RunConfig:
@@ -44,16 +59,19 @@ def _config(args: argparse.Namespace) -> workflow.RunConfig:
 def features(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Raw claims to the feature table; shows its summary."""
     require_input(spark, args.raw)
+    _sized(spark, args.raw)
     return workflow.dataset_summary(workflow.build_feature_table(spark, _config(args)))
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Both models from the feature table; shows their metrics."""
+    _sized(spark, f"{args.output}/features")
     return workflow.train_models(spark.table(args.table), _config(args))
 
 
 def explain(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Attributions of the stored model; shows the importance of the features."""
+    _sized(spark, f"{args.output}/test")
     return workflow.explain_model(spark, _config(args))
 
 
@@ -81,7 +99,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--captured", help="folder of captured messages instead of Kafka")
     job.add_argument("--topic", default=TOPIC)
-    job.add_argument("--starting", default="latest")
+    job.add_argument("--starting", help="default: latest, and earliest with --once")
+    job.add_argument("--min-partitions", type=int)
+    job.add_argument("--accept-data-loss", action="store_true", help="go on where the topic has lost offsets")
     job.add_argument("--offsets-per-trigger", type=int, default=OFFSETS_PER_TRIGGER)
     job.add_argument("--raw", required=True)
     job.add_argument("--checkpoint", required=True)

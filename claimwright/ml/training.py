@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from claimwright.operators.evaluation import METRIC_NAMES, binary_auc, class_metrics, with_label
-from claimwright.operators.sampling import SEED, hash_split, oversample_poisson
+from claimwright.operators.sampling import SEED, first_by_hash, hash_split, oversample_poisson, uniform
 from claimwright.schema import FEATURES
 
 # Model parameters, the search grid and the prediction sample.
@@ -96,43 +99,55 @@ def train_lr(train: DataFrame, **params) -> PipelineModel:
     return _fit(estimator, train)
 
 
+def with_fold(rows: DataFrame, folds: int = CV_FOLDS, key: str = "claim_id") -> DataFrame:
+    """Adds `fold`; all rows of a claim are in one. The hash has a seed of its own, so folds do not follow the split."""
+    return rows.withColumn("fold", F.floor(uniform(key, SEED + 1) * folds).cast("int"))
+
+
+@dataclass(frozen=True)
+class GridSearch:
+    """Mean AUC of each combination, in grid order, and the best one fitted on all training rows."""
+
+    combinations: list[dict]
+    auc: list[float]
+    best: PipelineModel
+
+
 def cross_validate_gbt(train: DataFrame, *, grid: dict[str, list] | None = None, folds: int = CV_FOLDS,
-                       parallelism: int = 4, **params) -> CrossValidatorModel:
-    """Grid search by area under ROC. Vectors are assembled once, outside the search; several fits run at a
-    time, each of them distributed."""
-    estimator = gbt(**params)
-    builder = ParamGridBuilder()
-    for name, values in (grid or GBT_GRID).items():
-        builder = builder.addGrid(estimator.getParam(name), values)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=folds,
-        seed=SEED,
-        parallelism=parallelism,
-    )
-    vectors = assembler().transform(train.select("label", *FEATURES).hint("rebalance")).select(
-        "label", "features"
-    ).persist()
+                       parallelism: int = 4, oversample: Callable[[DataFrame], DataFrame] = oversample_poisson,
+                       **params) -> GridSearch:
+    """Grid search by area under ROC over training rows as they are, not oversampled.
+
+    Folds are drawn by claim, and only the part that is fitted on is oversampled, so no copy of a claim is scored by a
+    model that has seen it. Vectors are assembled once; several fits run at a time, each of them distributed."""
+    grid = grid or GBT_GRID
+    combinations = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    rows = with_fold(assembler().transform(train.select("claim_id", "is_fraud", "label", *FEATURES))
+                     .select("claim_id", "is_fraud", "label", "features"), folds).hint("rebalance").persist()
+    totals = [0.0] * len(combinations)
     try:
-        return search.fit(vectors)
+        for fold in range(folds):
+            fitted_on = oversample(rows.filter(F.col("fold") != fold)).select("label", "features").persist()
+            held = rows.filter(F.col("fold") == fold).select("label", "features")
+            try:
+                with ThreadPool(parallelism) as pool:
+                    scores = pool.map(inheritable_thread_target(lambda combination: evaluator.evaluate(
+                        gbt(**{**params, **combination}).fit(fitted_on).transform(held))), combinations)
+            finally:
+                fitted_on.unpersist()
+            totals = [t + s for t, s in zip(totals, scores)]
+        best = combinations[max(range(len(totals)), key=totals.__getitem__)]
+        model = gbt(**{**params, **best}).fit(oversample(rows).select("label", "features"))
     finally:
-        vectors.unpersist()
+        rows.unpersist()
+    return GridSearch(combinations, [t / folds for t in totals], PipelineModel(stages=[assembler(), model]))
 
 
-def cv_results(model: CrossValidatorModel) -> list[tuple]:
+def cv_results(found: GridSearch) -> list[tuple]:
     """`(maxIter, maxDepth, ..., mean AUC, is_best)` per combination, in grid order."""
-    best = max(model.avgMetrics)
-    return [
-        (*[int(v) for v in params.values()], float(auc), bool(auc == best))
-        for params, auc in zip(model.getEstimatorParamMaps(), model.avgMetrics)
-    ]
-
-
-def best_pipeline(model: CrossValidatorModel) -> PipelineModel:
-    """Assembler and best model, usable on feature rows."""
-    return PipelineModel(stages=[assembler(), model.bestModel])
+    best = max(found.auc)
+    return [(*[int(v) for v in c.values()], auc, auc == best) for c, auc in zip(found.combinations, found.auc)]
 
 
 def evaluate(predictions: DataFrame, model: str, run_ts: datetime) -> DataFrame:
@@ -153,10 +168,10 @@ def evaluate(predictions: DataFrame, model: str, run_ts: datetime) -> DataFrame:
 
 
 def prediction_sample(predictions: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Scored claims with the probability of fraud; the first by claim id, as a distributed top-k."""
-    return predictions.select(
+    """Scored claims with the probability of fraud; a sample by the claim ids' hash."""
+    return first_by_hash(predictions, rows).select(
         *SAMPLE_COLUMNS, F.round(vector_to_array("probability")[1], 6).alias("prob_fraud")
-    ).orderBy("claim_id").limit(rows)
+    )
 
 
 def save_model(model: PipelineModel, path: str) -> PipelineModel:

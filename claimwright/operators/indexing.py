@@ -20,13 +20,13 @@ def fit_category_index(claims: DataFrame) -> StringIndexerModel:
 def category_index(claims: DataFrame) -> DataFrame:
     """The same mapping as a relation `(column_name, category, n, idx)`: most frequent first, ties by value.
 
-    The window runs over one row per category, after aggregation."""
+    The claims are counted by all columns together first; the rows of each column come from those few counts."""
     by_frequency = Window.partitionBy("column_name").orderBy(F.col("n").desc(), "category")
     return (
-        claims.select(*CATEGORY_INDEX)
-        .unpivot([], list(CATEGORY_INDEX), "column_name", "category")
+        claims.groupBy(*CATEGORY_INDEX).agg(F.count("*").alias("_n"))
+        .unpivot(["_n"], list(CATEGORY_INDEX), "column_name", "category")
         .filter("category is not null")
         .groupBy("column_name", "category")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("_n").alias("n"))
         .withColumn("idx", (F.row_number().over(by_frequency) - 1).cast("double"))
     )

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimwright.schema import REGION_DOMAIN
-
 # Statistics of up to this many keys are broadcast (a few MB); the size is checked before the hint is given.
 BROADCAST_ROWS = 50_000
-# A key with at least this share of the rows is hot; by counting there can be at most 1/HOT_SHARE of them.
-HOT_SHARE = 0.001
+# At most so many keys can be hot: a key is, with at least this part of the rows or of a shuffle partition's share.
+HOT_KEYS = 10_000
+
 
+def small_side(frame: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if it has few rows, counted up to the bound only; else as it is, for a shuffled join
+    whose skewed partitions adaptive execution splits."""
+    return F.broadcast(frame) if frame.limit(broadcast_rows + 1).count() <= broadcast_rows else frame
 
-def with_region_stats(claims: DataFrame, stats: DataFrame,
-                      regions: Sequence[str] | None = REGION_DOMAIN) -> DataFrame:
-    """Claims with their region's statistics.
 
-    Normalised claims know five regions, so the broadcast side has at most five rows; the filter makes that
-    certain. For regions outside that domain pass `regions=None`: no hint then, the plan adapts at run time."""
-    if regions is None:
-        return claims.join(stats, "region", "left")
-    return claims.join(F.broadcast(stats.filter(F.col("region").isin(list(regions)))), "region", "left")
+def with_region_stats(claims: DataFrame, stats: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Claims with their region's statistics, whatever regions there are."""
+    return claims.join(small_side(stats, broadcast_rows), "region", "left")
 
 
 def with_key_stats(claims: DataFrame, stats: DataFrame, key: str, weight: str, spread_by: Column,
@@ -30,16 +26,18 @@ def with_key_stats(claims: DataFrame, stats: DataFrame, key: str, weight: str, s
     """Claims left-joined with one row of statistics per `key`, whatever the number or skew of the keys.
 
     * Few keys (counted, not assumed): broadcast, no shuffle of the claims.
-    * Many keys: the hot ones (row count in `weight`, at most 1/HOT_SHARE keys) are broadcast. The rest is
+    * Many keys: the hot ones (row count in `weight`, at most HOT_KEYS keys) are broadcast. The rest is
       joined by shuffle, in which rows already matched, and rows without a key, are spread by a salt that
       depends only on the row. No reducer receives a hot key."""
     # `limit` first: counting stops at the bound
     if stats.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return claims.join(F.broadcast(stats), key, "left")
 
+    partitions = int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     extra = [c for c in stats.columns if c != key]
     row_total = stats.agg(F.sum(weight)).first()[0] or 0
-    is_hot = F.col(weight) >= row_total * HOT_SHARE
+    # a tenth of a partition's rows, as long as that leaves no more than HOT_KEYS hot keys
+    is_hot = F.col(weight) >= row_total / min(10 * partitions, HOT_KEYS)
     hot = stats.filter(is_hot).select(F.col(key).alias("_hot_key"), F.struct(*extra).alias("_hot"))
     # One key column with a marker in front: 'k' and the key for rows still to be matched, 's' and a salt for the
     # others. The two never meet. (A separate salt column, constant on the statistics' side, would not do: the

@@ -6,8 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# More groups than this are matched with a join instead of a literal predicate.
-MAX_LITERAL_GROUPS = 64
+from claimwright.operators.joins import small_side
 
 
 def _at_rank(counts: DataFrame, group: str, order: str, rank: Column) -> DataFrame:
@@ -35,16 +34,7 @@ def exact_quantile(df: DataFrame, group: str, value: str, q: float, bucket: Colu
     target = F.greatest(F.lit(1), F.ceil(F.lit(Decimal(str(q))) * total)).cast("long")
     hit = _at_rank(per_bucket, group, "_b", target).select(group, "_b", "_k")
 
-    known = hit.take(MAX_LITERAL_GROUPS + 1)
-    if not known:
-        return values.select(group, F.col(value).alias(name)).limit(0)
-    if len(known) <= MAX_LITERAL_GROUPS:
-        rank = F.lit(None).cast("long")
-        for row in known:
-            here = (F.col(group) == F.lit(row[group])) & (F.col("_b") == F.lit(row["_b"]))
-            rank = F.when(here, F.lit(row["_k"])).otherwise(rank)
-        inside = values.withColumn("_rank", rank).filter("_rank is not null")
-    else:
-        inside = values.join(hit.withColumnRenamed("_k", "_rank"), [group, "_b"])
+    # one row for each group
+    inside = values.join(small_side(hit.withColumnRenamed("_k", "_rank")), [group, "_b"])
     per_value = inside.groupBy(group, value, "_rank").agg(F.count("*").alias("_n"))
     return _at_rank(per_value, group, value, F.col("_rank")).select(group, F.col(value).alias(name))

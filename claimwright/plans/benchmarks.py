@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from claimwright.operators.joins import with_key_stats
-from claimwright.operators.sampling import SEED, bernoulli_sample
+from claimwright.operators.sampling import SEED, uniform
 
 # Workload parameters.
 FILTER_AMOUNT = 10000
@@ -42,14 +42,14 @@ def join_provider_average(features: DataFrame) -> DataFrame:
 
 
 def scaling(features: DataFrame, seed: int = SEED) -> DataFrame:
-    """Rows and average amount per region over growing samples of the rows."""
-    parts = [
-        bernoulli_sample(features.select("region", "claim_amount"), f, seed).withColumn("fraction", F.lit(f))
-        for f in FRACTIONS
-    ]
-    sampled = parts[0]
-    for part in parts[1:]:
-        sampled = sampled.unionByName(part)
-    return sampled.groupBy("fraction", "region").agg(
-        F.count("*").alias("cnt"), F.avg("claim_amount").alias("avg_amount")
-    )
+    """Rows and average amount per region over growing samples of the rows, in one pass: each row is in the samples
+    whose fraction is above its draw."""
+    drawn = features.select("region", "claim_amount", uniform("claim_id", seed).alias("draw"))
+    entries = []
+    for f in FRACTIONS:
+        inside = F.col("draw") < f
+        entries.append(F.struct(F.lit(f).alias("fraction"), F.count_if(inside).alias("cnt"),
+                                F.avg(F.when(inside, F.col("claim_amount"))).alias("avg_amount")))
+    by_region = drawn.groupBy("region").agg(F.array(*entries).alias("samples"))
+    return by_region.select("region", F.explode("samples").alias("s")).select("s.fraction", "region", "s.cnt",
+                                                                             "s.avg_amount").filter("cnt > 0")

@@ -186,10 +186,10 @@ def overall_fraud_rate(features: DataFrame) -> DataFrame:
     return features.agg(share_pct(F.count_if("is_fraud"), _n()).alias("fraud_rate"))
 
 
-def latest_metric(metrics: DataFrame, name: str = "auc_roc") -> DataFrame:
-    """Newest value of one metric; a plain aggregation, no sort."""
-    return metrics.filter(F.col("metric_name") == name).agg(
-        F.max_by("metric_value", "run_ts").alias("metric_value")
+def latest_metric(metrics: DataFrame, name: str = "auc_roc", model: str = "gbt") -> DataFrame:
+    """Newest value of one metric of one model, the higher one if a run has two; a plain aggregation, no sort."""
+    return metrics.filter((F.col("metric_name") == name) & (F.col("model") == model)).agg(
+        F.max(F.struct("run_ts", "metric_value"))["metric_value"].alias("metric_value")
     )
 
 

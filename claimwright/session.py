@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -33,17 +31,10 @@ def build_session(app_name: str = "claimwright", *, hive: bool = False, warehous
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
-
-    Only a local-mode session without that setting falls back to a temporary folder."""
+    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`; a folder of the
+    warehouse, which is shared as well, where that is not set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="claimwright-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 # Compressed input per shuffle partition. Rows grow several times when decoded and sorted, so this keeps a

@@ -41,6 +41,25 @@ def test_ratio_is_capped_and_guarded(labelled):
     assert sampling.class_ratio(labelled.filter("label = 0")) is None
 
 
+def test_every_label_is_a_stratum(labelled):
+    odd = labelled.withColumn("label", F.when(F.col("age") > 0, F.when(
+        F.substring("claim_id", -1, 1) == "3", 7).when(F.substring("claim_id", -1, 1) != "4", F.col("label"))))
+    counts = {(r["label"], r["split"]): r["count"]
+              for r in sampling.stratified_split(odd).groupBy("label", "split").count().collect()}
+    assert counts[(7, "train")] == 16 and counts[(None, "train")] == 16 and counts[(0, "train")] == 112
+
+
+def test_first_by_hash(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("claim_id"))
+    few = sampling.first_by_hash(rows, 20)
+    assert ids(few) == ids(rows.orderBy(F.md5("claim_id")).limit(20))
+    assert sampling.first_by_hash(rows, 6000).count() == 5000
+
+
+def test_poisson_ignores_partitioning(labelled):
+    assert ids(sampling.oversample_poisson(labelled)) == ids(sampling.oversample_poisson(labelled.repartition(7)))
+
+
 def test_replicated(labelled):
     more = sampling.oversample_replicated(labelled)
     assert more.count() == 180 + 20 * 5 and more.columns == labelled.columns
@@ -66,6 +85,7 @@ def test_rows_without_class_vanish(make_claims):
 
 def test_bernoulli(spark):
     rows = spark.range(4000)
-    assert 800 < sampling.bernoulli_sample(rows, 0.25).count() < 1200
-    assert sampling.bernoulli_sample(rows, 1.0).count() == 4000
-    assert sampling.bernoulli_sample(rows.select(F.col("id")), 0.25).count() == sampling.bernoulli_sample(rows, 0.25).count()
+    part = sampling.bernoulli_sample(rows, 0.25, key="id")
+    assert 800 < part.count() < 1200 and sampling.bernoulli_sample(rows, 1.0).count() == 4000
+    again = sampling.bernoulli_sample(rows.repartition(7), 0.25, key="id")
+    assert {r.id for r in part.collect()} == {r.id for r in again.collect()}

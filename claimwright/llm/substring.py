@@ -1,5 +1,6 @@
 """Removal of word windows that an earlier document already has, behind a count-min prefilter.
 
+0. A text that is a whole copy of an earlier document's is settled by its hash: it stands for no window of its own.
 1. Every chunk of text sketches its windows; merged, the sketches tell which windows may be repeated.
 2. Only those windows are grouped exactly, by 96 bits of hash, to the smallest id that has them.
 3. Windows that an earlier document has go back to their documents, which drop the words they cover.
@@ -24,9 +25,11 @@ from pyspark.sql import DataFrame, functions as F
 from claimwright.llm.common import (SPACES, Rolling, as_long, buffer_of, byte_set, chunks, sequences, stored,
                                     with_copy, word_spans)
 from claimwright.llm.rewrite import rewritten
-from claimwright.llm.sketch import MAX_BITS, flagged, merged_flags
+from claimwright.llm.sketch import MAX_BITS, flagged, key_column, merged_flags
 
 WINDOW = 13
+#: Stands for all windows of a document.
+WHOLE = -1
 
 
 class Windows:
@@ -55,6 +58,8 @@ def kept_words(text: str, places: np.ndarray, window: int) -> tuple[int, list[by
     words = text.encode().split()
     if not len(places):
         return len(words), words
+    if places[0] == WHOLE:
+        return len(words), [] if len(words) >= window else words
     step = np.zeros(len(words) + 1, np.int64)
     np.add.at(step, places, 1)
     np.add.at(step, places + window, -1)
@@ -66,20 +71,41 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX
     """doc_id, n_words, n_removed, kept_sha256 and, if `texts`, the kept words of every row of (doc_id, text)."""
     docs, _ = with_copy(docs)
     context = docs.sparkSession.sparkContext
+    # Whole copies, as (id, copy). Flags tell documents that surely are none; the few others are told apart by a join.
+    same = docs.select("id", "copy", F.md5("text").alias("hash"))
+    first = same.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    copies = stored(same.join(first, "hash").where("first < id").select("id", "copy").distinct(), "copies")
+    n_copies = copies.count()
+    copied = context.broadcast(merged_flags(copies.select("id"), key_column("id"), n_copies, flag="once"))
+
+    def maybe_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(flagged(np.asarray(batch.column("id")).view(np.uint64), *copied.value)))
+
+    bare = docs.select("id", "copy", "text")
+    rescued = stored(bare.mapInArrow(maybe_copies, "id long, copy long, text string")
+                     .join(copies, ["id", "copy"], "left_anti"), "rescued")
     size, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
 
+    originals = bare.withColumn("sure", F.lit(False)).unionByName(rescued.withColumn("sure", F.lit(True)))
+
+    def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """The originals: rescued ones, and those that the flags do not name."""
+        hit = flagged(np.asarray(batch.column("id")).view(np.uint64), *copied.value)
+        yield from chunks(batch.filter(pa.array(np.asarray(batch.column("sure")) | ~hit)))
+
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         windows = Windows(window)
-        for part in chunks(batch):
+        for part in parts_of(batch):
             yield windows.of(part.column("text"))[0][0]
 
-    twice = context.broadcast(merged_flags(docs.select("text"), keys, (size or 0) // 6 + 1, max_bits))
+    twice = context.broadcast(merged_flags(originals, keys, (size or 0) // 6 + 1, max_bits))
 
     def candidates(names: list[str]) -> DataFrame:
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows = Windows(window)
             for batch in batches:
-                for part in chunks(batch):
+                for part in parts_of(batch):
                     (a, b), row, place = windows.of(part.column("text"), 2)
                     keep = flagged(a, *twice.value)
                     ids, copies = (np.asarray(part.column(c)) for c in ("id", "copy"))
@@ -88,13 +114,14 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX
                                "copy": copies[row], "place": place[keep].astype(np.int32)}
                     yield pa.RecordBatch.from_arrays([pa.array(columns[c]) for c in names], names=names)
         kinds = {"a": "long", "b": "int", "id": "long", "copy": "long", "place": "int"}
-        return docs.select("id", "copy", "text").mapInArrow(rows, ", ".join(f"{c} {kinds[c]}" for c in names))
+        return originals.mapInArrow(rows, ", ".join(f"{c} {kinds[c]}" for c in names))
 
     # Exact: the smallest id of each window.
     earliest = candidates(["a", "b", "id"]).groupBy("a", "b").agg(F.min("id").alias("earliest"))
     rows = candidates(["a", "b", "id", "copy", "place"])
     repeats = stored(rows.join(earliest, ["a", "b"]).where("earliest < id")
-                     .groupBy("id", "copy").agg(F.array_sort(F.collect_set(F.col("place").cast("long"))).alias("marks")), "repeats")
+                     .groupBy("id", "copy").agg(F.array_sort(F.collect_set(F.col("place").cast("long"))).alias("marks"))
+                     .unionByName(copies.withColumn("marks", F.array(F.lit(WHOLE).cast("long")))), "repeats")
 
     def result(text: str, places: np.ndarray) -> tuple:
         n, words = kept_words(text, places, window)

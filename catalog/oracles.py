@@ -241,6 +241,21 @@ SELECT 'C' || l_orderkey || '-' || l_linenumber AS claim_id, 'P' || o_custkey AS
   'V' || (l_partkey % 90 + 10) AS diagnosis_code
 FROM cms""")
 
+ORACLES["cms_rule_labels"] = on(LINES, f""",
+cms AS (
+  SELECT 'C' || l_orderkey || '-' || l_linenumber AS claim_id, 'PRV' || (l_suppkey + 1000000000) AS provider_id,
+    l_extendedprice AS claim_amount, datesub('year', date '1930-01-01' + ((o_custkey * 7919) % 20000)::int,
+    l_shipdate::date) AS age,
+    ['99213','99214','71046','93000','80053','36415','99395','27447','43239','70553',NULL,NULL][l_partkey % 12 + 1]
+      AS code
+  FROM lines
+),
+averages AS (SELECT provider_id, avg(claim_amount) AS mean FROM cms GROUP BY provider_id)
+SELECT claim_id, provider_id, claim_amount, NULL::varchar AS bmi,
+  coalesce(age < 30 AND code IN ('27447', '43239'), false) OR {r('claim_amount / (mean + 1)', 4)} > 4.5 AS is_fraud
+FROM cms JOIN averages USING (provider_id)""")
+ORACLES["insurance_claims"] = on(CLAIMS, """
+SELECT age, sex, bmi, children, smoker, region, claim_amount, NULL::varchar AS days_since_last_claim FROM claims""")
 ORACLES["feature_table_roundtrip"] = on(INDEX_ROWS, """
 SELECT claim_id, provider_id, charge_per_age, bmi_category, anomaly_score_proxy, sex_idx,
        anomaly_score_proxy AS score_by_path

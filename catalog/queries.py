@@ -117,6 +117,24 @@ def map_cms_claims(spark, sf_dir):
     return external.cms_to_claims(external.read_cms_csv(spark, src.cms_csv_path(spark, sf_dir)))
 
 
+@query
+def cms_rule_labels(spark, sf_dir):
+    """CMS claims as complete claims, labelled by the rules."""
+    rows = external.cms_to_claims(external.read_cms_csv(spark, src.cms_csv_path(spark, sf_dir)))
+    return external.with_rule_label(external.complete_claims(rows)).select(
+        "claim_id", "provider_id", "claim_amount", F.col("bmi").cast("string").alias("bmi"), "is_fraud")
+
+
+@query
+def insurance_claims(spark, sf_dir):
+    """Insurance rows as complete claims, through validation as far as their fields allow."""
+    rows = external.insurance_to_claims(external.read_insurance_csv(spark, src.insurance_csv_path(spark, sf_dir)))
+    claims = external.complete_claims(rows).withColumn("patient_id", F.col("claim_id"))
+    return normalise(validate(claims), src.AS_OF).select(
+        "age", "sex", "bmi", "children", "smoker", "region", "claim_amount",
+        F.col("days_since_last_claim").cast("string").alias("days_since_last_claim"))
+
+
 # --- sinks ----------------------------------------------------------------------------------------------
 
 

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from claimwright.schema import PROCEDURES
+from claimwright.functions.features import engineered_columns
+from claimwright.functions.rules import any_rule, fraud_rules
+from claimwright.operators.joins import with_provider_stats
+from claimwright.operators.stats import provider_stats
+from claimwright.schema import CLAIM_SCHEMA, PROCEDURES
 
 # Column names of the two published formats.
 INSURANCE_SCHEMA = (
@@ -81,3 +85,23 @@ def cms_to_claims(rows: DataFrame) -> DataFrame:
         F.date_format(filed, "yyyy-MM-dd'T'HH:mm:ss").alias("submission_timestamp"),
         F.col("ICD9_DGNS_CD_1").alias("diagnosis_code"),
     )
+
+
+def complete_claims(rows: DataFrame) -> DataFrame:
+    """Rows with every claim field in order: fields the source lacks are nulls of their type. Without a claim id of its
+    own a row gets one from its content, so equal rows are one claim."""
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns
+              else F.lit(None).cast(f.dataType).alias(f.name) for f in CLAIM_SCHEMA]
+    whole = rows.select(*fields)
+    if "claim_id" in rows.columns:
+        return whole
+    content = F.concat_ws("|", *(F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in CLAIM_SCHEMA))
+    return whole.withColumn("claim_id", F.concat(F.lit("X"), F.substring(F.md5(content), 1, 16)))
+
+
+def with_rule_label(claims: DataFrame) -> DataFrame:
+    """Complete claims labelled by the four rules as far as their fields allow; a rule on a missing field never fires."""
+    joined = with_provider_stats(claims, provider_stats(claims))
+    deviation = engineered_columns()["provider_claim_deviation"]
+    labelled = joined.withColumn("provider_claim_deviation", deviation)
+    return labelled.withColumn("is_fraud", any_rule(fraud_rules())).select(*(f.name for f in CLAIM_SCHEMA))

@@ -552,7 +552,7 @@ FROM claims LEFT JOIN providers USING (provider_id)""")
 
 # --- streaming ------------------------------------------------------------------------------------------
 
-ORACLES["stream_ingest_claims"] = on(CLEAN, f"SELECT DISTINCT {STABLE} FROM clean")
+ORACLES["stream_ingest_claims"] = on(CLEAN, f"SELECT DISTINCT {STABLE}, true AS is_candidate FROM clean")
 ORACLES["stream_dedup_global"] = on(CLEAN, "SELECT DISTINCT claim_id, patient_id FROM clean")
 ORACLES["stream_dedup_watermark"] = ORACLES["stream_dedup_global"]
 # a window is closed when the watermark, an hour behind the newest event, has passed its end

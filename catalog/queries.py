@@ -23,7 +23,7 @@ from claimwright.operators.profile import profile
 from claimwright.operators.stats import provider_stats, region_stats
 from claimwright.operators.validation import normalise, reject_counts, validate
 from claimwright.plans import benchmarks, reports, workflow
-from claimwright.schema import CATEGORY_INDEX, CLAIM_SCHEMA, FEATURES
+from claimwright.schema import CATEGORY_INDEX, CLAIM_SCHEMA, FEATURES, RAW_SCHEMA
 from claimwright.sources import external, tables
 from claimwright.sources.streams import captured_messages
 from catalog.tpch import source_claims
@@ -430,15 +430,26 @@ def bench_scaling(spark, sf_dir):
 # --- streaming ------------------------------------------------------------------------------------------
 
 
+def several_batches(spark, sf_dir):
+    """The captured messages, two files at a time."""
+    return captured_messages(spark, src.captured_path(spark, sf_dir), files_per_trigger=2)
+
+
 @query
 def stream_ingest_claims(spark, sf_dir):
-    stream = captured_messages(spark, src.captured_path(spark, sf_dir))
-    return landed(spark, ingest.clean_stream(stream, as_of=src.AS_OF), "stream_ingest").select(*STABLE)
+    stream = several_batches(spark, sf_dir)
+    rows = landed(spark, ingest.clean_stream(stream, as_of=src.AS_OF), "stream_ingest")
+    # whichever message of a claim came first: the whole row is one of the claim's rows
+    columns = [f.name for f in RAW_SCHEMA]
+    whole = F.md5(F.to_json(F.struct(*columns))).alias("whole")
+    candidates = normalise(validate(decode_messages(src.messages(spark, sf_dir))), src.AS_OF).select(whole).distinct()
+    found = rows.select(*STABLE, whole).join(candidates.withColumn("is_candidate", F.lit(True)), "whole", "left")
+    return found.select(*STABLE, F.coalesce("is_candidate", F.lit(False)).alias("is_candidate"))
 
 
 @query
 def stream_dedup_global(spark, sf_dir):
-    stream = validate(decode_messages(captured_messages(spark, src.captured_path(spark, sf_dir))))
+    stream = validate(decode_messages(several_batches(spark, sf_dir)))
     return landed(spark, ingest.dedup_stream(stream).select("claim_id", "patient_id"), "dedup_global",
                   partition_by=None)
 
@@ -447,7 +458,7 @@ def stream_dedup_global(spark, sf_dir):
 def stream_dedup_watermark(spark, sf_dir):
     # the horizon spans the data, so nothing is late and nothing is forgotten
     stream = normalise(
-        validate(decode_messages(captured_messages(spark, src.captured_path(spark, sf_dir)))), src.AS_OF
+        validate(decode_messages(several_batches(spark, sf_dir))), src.AS_OF
     )
     unique = ingest.dedup_stream_within(stream, "3650 days").select("claim_id", "patient_id")
     return landed(spark, unique, "dedup_watermark", partition_by=None)

@@ -33,7 +33,8 @@ SAMPLES = 64
 PACE = 2
 #: Characters of a walk.
 STRETCH = 2048
-WALKED_AT_ONCE = 3_000_000
+#: Characters and texts that are walked side by side; together they bound the table of written strings.
+WALKED_AT_ONCE, TEXTS_AT_ONCE = 3_000_000, 4000
 #: Bytes of text in a bucket of neighbouring ids, as long as there are no more than MAX_BUCKETS.
 BUCKET_BYTES, MAX_BUCKETS = 16_000_000, 10_000
 BAND, BANDS = 8, 12
@@ -91,6 +92,7 @@ def fingerprints(texts: list[str]) -> list[str]:
     while k < len(texts):
         before = sizes[k - 1] if k else 0
         end = max(k + 1, int(np.searchsorted(sizes, before + WALKED_AT_ONCE, side="right")))
+        end = min(end, k + TEXTS_AT_ONCE)
         points = np.frombuffer("".join(texts[k:end]).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = np.array([len(t) for t in texts[k:end]])
         samples = walk(points, np.concatenate([[0], np.cumsum(n)]))

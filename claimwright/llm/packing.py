@@ -33,16 +33,21 @@ END = 0
 ROWS_PER_BUCKET = 50_000
 #: Up to here the two tokenizer libraries agree on which characters are letters, digits and spaces.
 PLAIN = "ɏ"
+#: White space in a row from which on the faster library, which keeps a step for each character, is not asked.
+LONG_RUN = 10_000
 
 
 # --- tokens -----------------------------------------------------------------------------------------------------
 
 class Tokens:
     """Token ids of a byte-level BPE, as little-endian 32-bit numbers. The vocabulary is read from the tokenizer's
-    file; texts of plain characters go through the faster of two libraries that agree on them."""
+    file; texts of plain characters go through the faster of two libraries that agree on them, unless they hold
+    LONG_RUN of white space or an added token. With `added`, ids are those of the tokenizer as loaded, which knows
+    added tokens inside a text; without, the text of an added token is text like any other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, *, added: bool = False):
         import json
+        import re
 
         import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
@@ -54,10 +59,13 @@ class Tokens:
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        self.full.encode_special_tokens = not added
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
 
     def of(self, text: str) -> bytes:
-        plain = max(text, default="") <= PLAIN
+        plain = (max(text, default="") <= PLAIN and not any(t in text for t in self.added)
+                 and not (len(text) >= LONG_RUN and self.long_run.search(text)))
         ids = self.fast.encode_ordinary(text) if plain else self.full.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
@@ -74,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, ids: bo
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian 32-bit numbers)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = Tokens(tokenizer), np.array([END], "<u4").tobytes()
+        tokens, end = Tokens(tokenizer, added=True), np.array([END], "<u4").tobytes()
         for batch in batches:
             for part in chunks(batch):
                 rows = []

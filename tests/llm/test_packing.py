@@ -30,6 +30,26 @@ def test_tokens_equal_the_tokenizer():
         assert np.frombuffer(own.of(text), "<u4").tolist() == full.encode(text, add_special_tokens=False).ids
 
 
+def test_tokens_equal_the_tokenizer_as_loaded():
+    full = Tokenizer.from_file(PATH)
+    own = packing.Tokens(PATH, added=True)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "é<|endoftext|><|endoftext|> 日", "<|endoftext|", "no token",
+             "a" + " " * 1_000_000 + "x", "a" + "\n" * 1_000_000 + "x"]
+    texts += ["a" + c * n + "x" for c in " \n\x85\xa0" for n in (packing.LONG_RUN - 1, packing.LONG_RUN)]
+    for text in texts:
+        assert np.frombuffer(own.of(text), "<u4").tolist() == full.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_added_tokens_and_long_runs(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "a" + " " * 1_000_000 + "x")]
+    got = {(r.doc_id, r.piece): r for r in packing.pieces(h.documents(spark, rows), PATH, ids=True).collect()}
+    full = Tokenizer.from_file(PATH)
+    for doc_id, text in rows:
+        own = [got[k] for k in sorted(got) if k[0] == doc_id]
+        ids = np.frombuffer(b"".join(bytes(r.ids) for r in own), "<u4").tolist()
+        assert ids == full.encode(text, add_special_tokens=False).ids + [packing.END]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_holds_every_piece(seed):
     rng = random.Random(seed)

@@ -9,8 +9,9 @@ many samples; a coarser fingerprint's steps are among a finer one's, so texts of
 Likeness is the share of equal samples among the steps that either text reaches. Near pairs come from bands of samples
 drawn from the fingerprint and are verified by their likeness.
 
-Walks run side by side, so that each step is one operation on many texts. Long texts are walked in stretches that
-begin anew, so the walk's length does not grow with the text; behind an edit each stretch falls into step by itself.
+Every text is walked from beginning to end, so an edit is paid for once however long the text is. Walks run side by
+side, so that each step is one operation on many texts; where few texts are still walking, each goes on alone. Only the
+samples of a walk are kept beyond a block of steps.
 
 Defined cases: null and empty texts have an empty fingerprint, alike (1) to each other and to nothing else; equal texts
 have equal fingerprints; rows may repeat or lack an id (a null id is larger than any other) and each comes back once;
@@ -20,6 +21,7 @@ extra columns are ignored; an empty table gives an empty result; the only row is
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,8 @@ from claimwright.llm.common import NO_ID, mixed, order_id
 SAMPLES = 64
 #: Steps of a walk for each character: half of them move on.
 PACE = 2
-#: Characters of a walk.
-STRETCH = 2048
+#: Steps between which only samples are kept, and texts below which walks no longer run side by side.
+BLOCK, SIDE = 65_536, 32
 #: Characters and texts that are walked side by side; together they bound the table of written strings.
 WALKED_AT_ONCE, TEXTS_AT_ONCE = 3_000_000, 4000
 #: Bytes of text in a bucket of neighbouring ids, as long as there are no more than MAX_BUCKETS.
@@ -40,6 +42,7 @@ BUCKET_BYTES, MAX_BUCKETS = 16_000_000, 10_000
 BAND, BANDS = 8, 12
 LIKE = 0.8
 
+MOVE, ONE = np.uint32(15), np.uint32(1)
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -49,41 +52,62 @@ def spacing(n: np.ndarray) -> np.ndarray:
 
 
 def walk(points: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Samples (values 0 to 15) of each text's written string; texts are code points one after another.
-
-    A text is walked in stretches of STRETCH characters that begin anew, all side by side."""
+    """Samples (values 0 to 15) of each text's written string; texts are code points one after another."""
     n = np.diff(offsets)
-    pieces = -(-n // STRETCH)
-    owner = np.repeat(np.arange(len(n)), pieces)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = offsets[owner] + number * STRETCH
-    length = np.minimum(offsets[owner + 1] - begin, STRETCH)
-    order = np.argsort(-length, kind="stable")
-    at, last = begin[order].copy(), (begin + length - 1)[order]
-    steps = int(length.max(initial=0)) * PACE
-    walking = np.searchsorted(-length[order] * PACE, -np.arange(1, steps + 1), side="right")
+    order = np.argsort(-n, kind="stable")
+    total, gaps = n[order] * PACE, 1 << spacing(n[order])
+    at, last = offsets[:-1][order], offsets[1:][order] - 1
     hashes = mixed(np.arange(256, dtype=np.uint64), 41).astype(np.uint32)
     codes = hashes[points & 255] ^ ((points >> np.uint32(8)) * np.uint32(0x9E3779B1))
-    marks = mixed(np.arange(steps, dtype=np.uint64), 42).astype(np.uint32) | np.uint32(1)
-    written = np.zeros((steps, len(order)), np.uint8)
-    for step in range(steps):
-        active = walking[step]
-        here = at[:active]
-        value = (codes[here] + marks[step]) * marks[step]
-        written[step, :active] = value >> np.uint32(28)
-        here += (value >> np.uint32(15)) & np.uint32(1)
-        np.minimum(here, last[:active], out=here)
-    column = np.empty(len(order), np.int64)
-    column[order] = np.arange(len(order))
-    first = np.cumsum(pieces) - pieces
-    out = []
-    for k, e in enumerate(spacing(n)):
-        place = np.arange((1 << e) - 1, n[k] * PACE, 1 << e)  # of samples in the whole written string
-        piece, step = place // (STRETCH * PACE), place % (STRETCH * PACE)
-        out.append(written[step, column[first[k] + piece]])
+    samples: list[list[np.ndarray]] = [[] for _ in order]
+    for begin in range(0, int(total.max(initial=0)), BLOCK):
+        left = total[:np.searchsorted(-total, -begin, side="left")] - begin
+        steps = min(BLOCK, int(left[0]))
+        marks = mixed(np.arange(begin, begin + steps, dtype=np.uint64), 42).astype(np.uint32) | np.uint32(1)
+        walking = np.searchsorted(-left, -np.arange(1, steps + 1), side="right")
+        together = int(np.searchsorted(-walking, -SIDE, side="right"))
+        first = np.concatenate([[0], np.cumsum(walking[:together])])
+        values = np.empty(first[-1], np.uint32)  # of one step after another
+        active = -1
+        for step, (a, b) in enumerate(itertools.pairwise(first.tolist())):
+            if b - a != active:
+                active = b - a
+                here, end, moves = at[:active], last[:active], np.empty(active, np.uint32)
+            value, mark = values[a:b], marks[step]
+            codes.take(here, out=value, mode="clip")  # none is out of range; this mode needs no copy
+            np.add(value, mark, out=value)
+            np.multiply(value, mark, out=value)
+            np.right_shift(value, MOVE, out=moves)
+            np.bitwise_and(moves, ONE, out=moves)
+            np.add(here, moves, out=here)
+            np.minimum(here, end, out=here)
+        written = (values >> np.uint32(28)).astype(np.uint8)
+        for k, stop in enumerate(np.minimum(left, steps).tolist()):
+            place = np.arange(-(begin + 1) % gaps[k], stop, gaps[k])
+            samples[k].append(written[first[place[place < together]] + k])
+            if stop > together:
+                own, moved = walk_alone(codes[at[k]:min(last[k], at[k] + stop - together) + 1].tolist(),
+                                        marks[together:stop].tolist())
+                at[k] += moved
+                samples[k].append(own[place[place >= together] - together])
+    out = [np.zeros(0, np.uint8)] * len(n)
+    for k, parts in zip(order, samples):
+        if parts:
+            out[k] = np.concatenate(parts)
     return out
 
 
+def walk_alone(codes: list[int], marks: list[int]) -> tuple[np.ndarray, int]:
+    """What one walk writes in the steps of `marks`, and how far it moves; it stays on the last of its codes."""
+    written, at, last = bytearray(), 0, len(codes) - 1
+    for mark in marks:
+        value = (codes[at] + mark) * mark & 0xFFFFFFFF
+        written.append(value >> 28)
+        if value & 0x8000 and at < last:
+            at += 1
+    return np.frombuffer(written, np.uint8), at
+
+
 def fingerprints(texts: list[str]) -> list[str]:
     """For each text the exponent of its spacing and its samples, as hexadecimal digits."""
     out: list[str] = []

@@ -264,6 +264,35 @@ def test_fingerprints_compare(spark):
     assert editprint.fingerprints(["", "x", "x"])[0] == "" and len(set(editprint.fingerprints(["x", "x"]))) == 1
 
 
+@pytest.mark.parametrize("size", [30_000, 300_000])
+def test_a_prefix_costs_once(size):
+    found = []
+    for seed in range(9):
+        text = "".join(random.Random(seed).choices("abcdefghijklmnop ", k=size))
+        found.append(editprint.likeness(*editprint.fingerprints([text, "0123456789" + text])))
+    assert sorted(found)[4] >= 0.9 and sum(f >= editprint.LIKE for f in found) >= 7
+
+
+@pytest.mark.parametrize("block, side", [(editprint.BLOCK, editprint.SIDE), (7, 2), (64, 1), (50, 100)])
+def test_walks_begin_once(block, side, monkeypatch):
+    monkeypatch.setattr(editprint, "BLOCK", block)
+    monkeypatch.setattr(editprint, "SIDE", side)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc é日", k=n)) for n in (0, 1, 5, 31, 32, 33, 100, 700, 0, 5000, 3, 64)]
+    hashes = editprint.mixed(np.arange(256, dtype=np.uint64), 41).astype(np.uint32).tolist()
+    marks = editprint.mixed(np.arange(10_000, dtype=np.uint64), 42).astype(np.uint32).tolist()
+    for text, mark in zip(texts, editprint.fingerprints(texts)):
+        at, written = 0, ""
+        for step in range(2 * len(text)):
+            point, own = ord(text[at]), marks[step] | 1
+            code = hashes[point & 255] ^ ((point >> 8) * 0x9E3779B1 & 0xFFFFFFFF)
+            value = (code + own) * own % 2**32
+            written += f"{value >> 28:x}"
+            at = min(at + (value >> 15 & 1), len(text) - 1)
+        gap = max(0, int(math.log2(max(2 * len(text), 1) / editprint.SAMPLES)))
+        assert mark == (f"{gap:02x}" + written[(1 << gap) - 1::1 << gap] if text else "")
+
+
 @pytest.mark.parametrize("size", [editprint.BUCKET_BYTES, 3000])
 def test_edits(spark, size, monkeypatch):
     monkeypatch.setattr(editprint, "BUCKET_BYTES", size)

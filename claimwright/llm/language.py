@@ -1,6 +1,7 @@
 """Language of texts by Bayesian fusion of four kinds of evidence.
 
-- The text: likelihood under byte-trigram models, one for each language, fitted on a bounded sample of labelled rows.
+- The text: likelihood under byte-trigram models, one for each language of any labelled row, fitted on a bounded sample
+  of each language's different texts.
 - The declared language and the address suffix: how often each goes with each language, over all rows.
 - The host: its share of languages, smoothed towards that of its suffix, and that towards all rows.
 
@@ -18,12 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwright.llm.common import buffer_of, chunks, stored
 
-#: Labelled rows that the text models are fitted on, at most.
-SAMPLE_ROWS = 2000
+#: Labelled texts that the text models are fitted on, shared out evenly, but with room for so many of each language.
+SAMPLE_ROWS, LANGUAGE_ROWS = 2000, 500
 #: Bits a byte costs under the model of no language, and its prior probability: a short text is no proof against one.
 NO_LANGUAGE_BITS, NO_LANGUAGE_PRIOR = 6.5, 1e-6
 #: Trigrams of a text are not independent: their evidence counts for less.
@@ -63,7 +64,7 @@ def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 own = held.setdefault(lang, np.zeros((3, 65536), np.int64))
                 np.add.at(own[0], code, 1)
                 np.add.at(own[1], pair, 1)
-                own[2][code] = pair
+                np.maximum.at(own[2], code, pair)
     yield pa.RecordBatch.from_arrays(
         [pa.array(held.keys(), pa.string()), pa.array([x.tobytes() for x in held.values()], pa.binary())],
         names=["lang", "counts"])
@@ -73,7 +74,7 @@ def fit(sample: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages of a small table (lang, text), and the log-probability of each trigram code given the two bytes
     before it in each language. What reaches the driver are three tables of 65,536 counts for each language."""
     counts: dict[str, np.ndarray] = {}
-    for r in sample.coalesce(1).mapInArrow(count_trigrams, "lang string, counts binary").collect():
+    for r in sample.repartition("lang").mapInArrow(count_trigrams, "lang string, counts binary").collect():
         counts[r.lang] = np.frombuffer(r.counts, np.int64).reshape(3, 65536)
     tables = []
     for name in sorted(counts):
@@ -122,15 +123,25 @@ def markup_language(html: str) -> Column:
     return F.when(found != "", found)
 
 
+def sampled(labelled: DataFrame) -> DataFrame:
+    """A bounded number of different texts (lang, text) of every language there is, those of the smallest hashes.
+
+    Hashes are drawn first, and no task sends on more of a language than are drawn; texts are only read for drawn ones."""
+    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL") \
+        .select("lang", "text", F.xxhash64("text").alias("hash"))
+    room = max(SAMPLE_ROWS // max(labelled.select("lang").distinct().count(), 1), LANGUAGE_ROWS)
+    drawn = (labelled.select("lang", "hash").distinct()
+             .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
+             .where(F.col("place") <= room).drop("place"))
+    return labelled.join(F.broadcast(drawn), ["lang", "hash"]).dropDuplicates(["lang", "hash"]).select("lang", "text")
+
+
 def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     """doc_id, lang, probability, declared, text_lang, kept for rows (doc_id, text, declared, suffix, host).
 
-    `labelled` (text, lang) is sampled by a hash of the text for the text models."""
-    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    total = labelled.count()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(2e6 * SAMPLE_ROWS / max(total, 1)) + 1
-    names, table = fit(labelled.where(draw).orderBy(F.xxhash64("text"), "lang").limit(SAMPLE_ROWS)
-                       .select("lang", "text"))
+    `labelled` (text, lang) is sampled by language and a hash of the text for the text models; every language in it can
+    be an answer."""
+    names, table = fit(sampled(labelled))
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        *(F.col(c).cast("string").alias(c) for c in ("declared", "suffix", "host")))
     scored = text_scores(rows, names, table)

@@ -50,6 +50,21 @@ def test_language(spark):
         assert (got[doc_id].lang, got[doc_id].kept) == ("und", False)
 
 
+def test_rare_languages_are_answered(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.sample((ENGLISH, FRENCH)[k % 2].split(), 8)), ("en", "fr")[k % 2], f"host{k % 3}", 0)
+            for k in range(30_000)]
+    rare = "zaku mipo zuru kavi pozu wiku rami zoka piwu kuza vomi zapu".split()
+    rows += [(40_000 + k, " ".join(rng.sample(rare, 12)), "za", "host0", 0) for k in range(4)]
+    rows += [(50_000 + k, "ghlor thwyn ghwrth lynth rhygl thlwr ghynt", "gh", "host0", 0) for k in range(3)]
+    docs = h.documents(spark, rows)
+    sample = Counter(r.lang for r in language.sampled(docs.select("text", "lang")).collect())
+    assert sample == {"en": language.LANGUAGE_ROWS, "fr": language.LANGUAGE_ROWS, "za": 4, "gh": 1}
+    got = language.identify(language.document_evidence(docs), docs.select("text", "lang")) \
+        .where("doc_id >= 40000").collect()
+    assert {r.doc_id: (r.lang, r.kept) for r in got} == {r[0]: (r[2], True) for r in rows[30_000:]}
+
+
 def test_host_and_declaration_decide_where_the_text_does_not(spark):
     rows = labelled_rows(60)
     docs = h.documents(spark, [(k, t, la, s, n) for k, t, la, s, n in rows] + [(200, "la", "fr", "host1", 0),

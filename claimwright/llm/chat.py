@@ -78,7 +78,7 @@ def expanded(part: Column, rates: Rates) -> Column:
     counts = {"image": squares, "audio": F.ceil(part["seconds"] * rates.a_second), "document": part["pages"] * rates.a_page}
     tokens = None
     for kind, count in counts.items():
-        known = F.coalesce(F.when(count >= 0, count), F.lit(rates.unknown))
+        known = F.coalesce(F.when(count > 0, count), F.lit(rates.unknown))
         tokens = F.when(part["kind"] == kind, known) if tokens is None else tokens.when(part["kind"] == kind, known)
     return tokens.otherwise(0).cast("long")
 

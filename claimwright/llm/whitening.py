@@ -9,7 +9,7 @@ eigenpair of the second, in a tree of bounded groups. Up to RANK eigenpairs are
 The leading pairs are then refined over all vectors: one pass multiplies the covariance with the basis, the Rayleigh-Ritz
 values and vectors of that basis come with their residuals, and while a residual is above TOLERANCE of the largest
 eigenvalue the basis is widened by the residuals and another pass follows. Everything is centred on the exact mean before
-it is multiplied. What reaches the driver is one basis (dimensions x at most RANK + COMPONENTS).
+it is multiplied. What reaches the driver is one spectrum and one basis (dimensions x at most 160 columns).
 
 Rows with a vector that takes no part (`vectors`) are left out; a null id is returned as it is, repeated rows are
 vectors of their own, further columns are ignored, no rows give no rows. `deviation` is null where it does not fit into
@@ -33,6 +33,8 @@ COMPONENTS = 32
 RANK, SPARE, FAN_IN = 128, 8, 16
 #: Residual of a refined pair, as part of the largest eigenvalue, and the most passes that are made for it.
 TOLERANCE, PASSES = 1e-13, 8
+#: Columns of a widened basis at most, as a multiple of components and spare ones.
+WIDEST = 4
 EPS = float(np.finfo(float).eps)
 
 SPECTRUM = "part long, n long, mean binary, eigenvalues binary, vectors binary"
@@ -51,15 +53,22 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
     # sign at the middle of the interval tells the nearer pole; the last interval has one pole only
     middle = d + gap / 2
     with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-        right = (1 / rho + (z2 / (d - middle[:, None])).sum(1) < 0) & (np.arange(k) < k - 1)
+        inverse = 1 / (d - middle[:, None])
+        at_middle = 1 / rho + inverse @ z2
+        right = (at_middle < 0) & (np.arange(k) < k - 1)
         origin = np.where(right, upper, d)
         poles = d - origin[:, None]  # exact zero at the pole of origin
         low, high = np.where(right, -gap / 2, 0.0), np.where(right, 0.0, np.where(np.arange(k) < k - 1, gap / 2, gap))
-        step = np.where(right, -gap / 4, gap / 4)
         left = np.tri(k)
         ends = np.append(poles[np.arange(k - 1), np.arange(1, k)], gap[-1])
         own = poles[np.arange(k), np.arange(k)]
-        x = step.copy()
+        # first guess: the two poles of the interval as they are, all others as at its middle
+        next2 = np.append(z2[1:], 0.0)
+        c = at_middle + (z2 - next2) * 2 / gap
+        b, a = c * (own + ends) + z2 + next2, c * own * ends + z2 * ends + next2 * own
+        q = (b + np.copysign(np.sqrt(np.maximum(b * b - 4 * a * c, 0)), b)) / 2
+        x = np.where((q / c > low) & (q / c < high), q / c, a / q)
+        x = np.where((x > low) & (x < high), x, (low + high) / 2)
         for _ in range(60):
             inverse = 1 / (poles - x[:, None])
             f = 1 / rho + inverse @ z2
@@ -277,7 +286,9 @@ def refined(tiled: DataFrame, basis: np.ndarray, mean: np.ndarray, n: int, compo
         for _ in range(2):
             fresh = fresh - vectors @ (vectors.T @ fresh)
             fresh = np.linalg.qr(fresh)[0]
-        basis = np.linalg.qr(np.column_stack([vectors[:, :components + SPARE], fresh]))[0]
+        most = min(width, WIDEST * (components + SPARE))  # beyond it, the basis begins again with the leading vectors
+        kept = vectors if vectors.shape[1] + fresh.shape[1] <= most else vectors[:, :components + SPARE]
+        basis = np.linalg.qr(np.column_stack([kept, fresh])[:, :width])[0]
     return np.maximum(values[:components], 0.0), vectors[:, :components], trace
 
 

@@ -136,6 +136,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
     orders = [f"p{k}" for k in range(ORDERS)]
     arrays = ", ".join(f"{p} array<long>" for p in orders)
     rows = stored(docs.mapInArrow(summarise, f"doc_id long, id long, node binary, n long, shared long, marks array<long>, {arrays}"), "sets")
+    twice.destroy()
     nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", *orders).dropDuplicates(["node"]), "nodes")
 
     def lists(order: str) -> DataFrame:
@@ -179,7 +180,9 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
                     keep.append(den * both >= num * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return candidates, stored(full.mapInArrow(check, "a binary, b binary"), "alike")
+        same = stored(full.mapInArrow(check, "a binary, b binary"), "alike")
+        wanted.destroy()
+        return candidates, same
 
     def may_be_alike(n_x: str, n_y: str, shared_x: str, shared_y: str, marks: tuple[str, str] | None = None):
         """Two sets have no more in common than either shares with any document, and every mark that only one of them

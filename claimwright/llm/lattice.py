@@ -4,9 +4,11 @@ A word's probability is the sum over its segmentations of the product of their p
 recursion in log space over its bytes; a document's is the product over its words and its end, since a piece never
 crosses the space before a word. Pieces begin with weights from the scores that the vocabulary gives them (its ranks,
 by Zipf's law), and one pass of expected counts over the different words of the training documents fits them to the
-corpus. A word that training documents have is also one arc of the lattice by itself, with the probability of its
-count; segmentations share the part of new words (their number over that of tokens and different tokens). So the
-probabilities of all words, new ones included, and of the end sum to one.
+corpus. The probabilities of all words, new ones included, and of the end sum to one. A-Z are lower-cased first.
+
+`score` is that marginal alone. `word_score` adds one arc to the lattice for a word that training documents have, with
+the probability of its count; segmentations then share the part of new words (their number over that of tokens and
+different tokens). It too is a distribution over all words and the end.
 
 Words are counted over all training documents; each different word is scored once, and the words of documents meet their
 counts and scores in a join. The most frequent words, a bounded number, go to every task instead, so what is shuffled
@@ -19,7 +21,9 @@ counts are 0 and pieces have the vocabulary's weights.
 
 from __future__ import annotations
 
+import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +35,8 @@ from claimwright.llm.common import chunks, stored, with_copy
 
 #: Rows whose id's checksum leaves this remainder are held out.
 FOLDS, HELD_OUT = 7, 2
+#: Words of more bytes are taken one by one, byte by byte: their memory and time grow with their length only.
+LONG = 256
 #: Words that go to every task, at most.
 FREQUENT = 150_000
 #: Rank added in Zipf's law, and expected count added to each piece.
@@ -74,18 +80,55 @@ class Lattice:
     def __init__(self, pieces: list[bytes]):
         self.longest = max(map(len, pieces))
         self.index = {p: k for k, p in enumerate(pieces)}
+        self.beginnings = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         self.size = len(pieces)
 
+    def found(self, word: bytes, a: int) -> Iterator[tuple[int, int]]:
+        """(end place, piece) of the pieces that begin at a place."""
+        for b in range(a + 1, min(len(word), a + self.longest) + 1):
+            part = word[a:b]
+            if part not in self.beginnings:
+                return
+            k = self.index.get(part)
+            if k is not None:
+                yield b, k
+
+    def long_forward(self, word: bytes, logs: list[float]) -> array:
+        """`forward` of one long word."""
+        out = array("d", [-math.inf]) * (len(word) + 1)
+        out[0] = 0.0
+        for a in range(len(word)):
+            here = out[a]
+            if here == -math.inf:
+                continue
+            for b, k in self.found(word, a):
+                step, there = here + logs[k], out[b]
+                top, low = (step, there) if step > there else (there, step)
+                out[b] = top + math.log1p(math.exp(low - top))
+        return out
+
+    def long_expected(self, word: bytes, logs: list[float], total: np.ndarray) -> None:
+        """Adds the expected uses of each piece in one long word."""
+        alpha = self.long_forward(word, logs)
+        beta = array("d", [-math.inf]) * (len(word) + 1)
+        beta[-1], whole = 0.0, alpha[-1]
+        for a in range(len(word) - 1, -1, -1):
+            for b, k in self.found(word, a):
+                step, here = beta[b] + logs[k], beta[a]
+                top, low = (step, here) if step > here else (here, step)
+                if top > -math.inf:
+                    beta[a] = top + math.log1p(math.exp(low - top))
+                    if alpha[a] > -math.inf:
+                        total[k] += math.exp(alpha[a] + step - whole)
+
     def arcs(self, words: list[bytes]) -> np.ndarray:
         """(end place, piece length, word): the piece that ends there, or -1. Words have one length."""
-        length, find = len(words[0]), self.index.get
+        length = len(words[0])
         out = np.full((length + 1, min(self.longest, length) + 1, len(words)), -1, np.int32)
         for j, word in enumerate(words):
             for a in range(length):
-                for b in range(a + 1, min(length, a + self.longest) + 1):
-                    k = find(word[a:b])
-                    if k is not None:
-                        out[b, b - a, j] = k
+                for b, k in self.found(word, a):
+                    out[b, b - a, j] = k
         return out
 
     def forward(self, arcs: np.ndarray, logs: np.ndarray) -> np.ndarray:
@@ -121,12 +164,12 @@ class Lattice:
 
 
 def grouped(words: list[bytes]) -> Iterator[np.ndarray]:
-    """Places of words of one length, as many as the recursions take at once."""
+    """Places of words of one length, as many as the recursions take at once; long words come one by one."""
     lengths = np.array([len(w) for w in words])
     order = np.argsort(lengths, kind="stable")
     cuts = np.flatnonzero(np.diff(lengths[order], prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
-        size = max(1, WORDS_AT_ONCE * 8 // int(lengths[order[a]] + 1))
+        size = max(1, WORDS_AT_ONCE * 8 // int(lengths[order[a]] + 1)) if lengths[order[a]] <= LONG else 1
         for k in range(a, b, size):
             yield order[k:min(b, k + size)]
 
@@ -165,7 +208,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in chunks(batch):
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    words = text.encode().split()
+                    words = text.encode().lower().split()
                     if held_out(doc_id) is False:
                         train.update(words)
                     else:
@@ -180,7 +223,8 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of (doc_id, text)."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, word_score for every row of
+    (doc_id, text)."""
     docs, _ = with_copy(docs)
     context = docs.sparkSession.sparkContext
     words = stored(count_words(docs), "words")
@@ -198,7 +242,10 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         for batch in batches:
             own = spaced(batch.column("word").to_pylist())
             for some in grouped(own):
-                total += lattice.expected(lattice.arcs([own[k] for k in some]), logs, np.ones(len(some)))
+                if len(own[some[0]]) > LONG:
+                    lattice.long_expected(own[some[0]], logs.tolist(), total)
+                else:
+                    total += lattice.expected(lattice.arcs([own[k] for k in some]), logs, np.ones(len(some)))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "uses"])
 
@@ -214,7 +261,9 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
             own = spaced(batch.column("word").to_pylist())
             out = np.zeros(len(own))
             for some in grouped(own):
-                out[some] = lattice.forward(lattice.arcs([own[k] for k in some]), own_logs)[-1] + stop
+                out[some] = stop + (lattice.long_forward(own[some[0]], own_logs.tolist())[-1]
+                                    if len(own[some[0]]) > LONG
+                                    else lattice.forward(lattice.arcs([own[k] for k in some]), own_logs)[-1])
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(out / LOG10)],
                                              names=["word", "n", "log"])
 
@@ -223,14 +272,18 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     lattice_log = words.mapInArrow(weigh, "word binary, n long, log double")
     # The word as one arc, by its count, beside its segmentations, by the share of new words.
     new = float(different) / (tokens + types) if different else 1.0
-    log = F.when((F.col("n") > 0) & (F.lit(float(different)) > 0),
-                 F.log10(F.col("n") + float(different) * F.pow(F.lit(10.0), "log")) - float(np.log10(tokens + types or 1))
-                 ).otherwise(F.col("log") + float(np.log10(new)))
-    scored = stored(lattice_log.withColumn("log", log), "scored")
+    mixed = F.when((F.col("n") > 0) & (F.lit(float(different)) > 0),
+                   F.log10(F.col("n") + float(different) * F.pow(F.lit(10.0), "log")) - float(np.log10(tokens + types or 1))
+                   ).otherwise(F.col("log") + float(np.log10(new)))
+    end = train_docs / tokens if train_docs and in_words else NEW_END  # a token is the end, or else a word
+    scored = stored(lattice_log.select("word", "n", (F.col("log") + float(np.log10(1 - end))).alias("log"),
+                                       mixed.alias("mixed")), "scored")
     top = scored.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    common = context.broadcast({bytes(w): (n > 0, float(np.log10(n + 1)) - share, g) for w, n, g in top})
-    end_base, end_known = float(np.log10(train_docs + 1)) - share, train_docs > 0
-    end_log = float(np.log10(train_docs / (tokens + types) if train_docs else NEW_END))
+    common = context.broadcast({bytes(w): (n > 0, float(np.log10(n + 1)) - share, g, m) for w, n, g, m in top})
+    pieces.destroy()
+    fitted.destroy()
+    end_base, end_known, end_log = float(np.log10(train_docs + 1)) - share, train_docs > 0, float(np.log10(end))
+    end_mixed = float(np.log10(train_docs / (tokens + types) if train_docs else NEW_END))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What the end and frequent words give each document, under a name that no word has, and its rarer words."""
@@ -240,36 +293,39 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 out: list[tuple] = []
                 for doc_id, id_, copy, text in zip(*(part.column(c).to_pylist()
                                                      for c in ("doc_id", "id", "copy", "text"))):
-                    n, hits, base, log = 1, int(end_known), end_base, end_log
-                    for word, times in Counter(text.encode().split()).items():
+                    n, hits, base, log, mixed = 1, int(end_known), end_base, end_log, end_mixed
+                    for word, times in Counter(text.encode().lower().split()).items():
                         n += times
                         found = known.get(word)
                         if found is None:
-                            out.append((None, id_, copy, word, times, None, None, None, None))
+                            out.append((None, id_, copy, word, times, None, None, None, None, None))
                         else:
                             hits += times * found[0]
                             base += times * found[1]
                             log += times * found[2]
-                    out.append((doc_id, id_, copy, b" %d %d" % (id_, copy), 0, n, hits, base, log))
+                            mixed += times * found[3]
+                    out.append((doc_id, id_, copy, b" %d %d" % (id_, copy), 0, n, hits, base, log, mixed))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
                     (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(),
-                     pa.float64(), pa.float64()))],
-                    names=["doc_id", "id", "copy", "word", "times", "tokens", "known", "base", "log"])
+                     pa.float64(), pa.float64(), pa.float64()))],
+                    names=["doc_id", "id", "copy", "word", "times", "tokens", "known", "base", "log", "mixed"])
 
     parts = docs.mapInArrow(split, "doc_id long, id long, copy long, word binary, times long, tokens long, known long, "
-                                   "base double, log double")
-    met = parts.join(scored.select("word", "n", F.col("log").alias("word_log")), "word", "left")
+                                   "base double, log double, mixed double")
+    met = parts.join(scored.select("word", "n", F.col("log").alias("word_log"), F.col("mixed").alias("word_mixed")),
+                     "word", "left")
     rare = F.col("tokens").isNull()
     sums = met.groupBy("id", "copy").agg(
         F.max("doc_id").alias("doc_id"), F.count("tokens").alias("rows"), F.sum("tokens").alias("tokens"),
         F.sum(F.when(rare, F.when(F.col("n") > 0, F.col("times")).otherwise(0)).otherwise(F.col("known")))
         .alias("known"),
         F.sum(F.when(rare, F.col("times") * (F.log10(F.col("n") + 1) - share)).otherwise(F.col("base"))).alias("base"),
-        F.sum(F.when(rare, F.col("times") * F.col("word_log")).otherwise(F.col("log"))).alias("log"))
+        F.sum(F.when(rare, F.col("times") * F.col("word_log")).otherwise(F.col("log"))).alias("log"),
+        F.sum(F.when(rare, F.col("times") * F.col("word_mixed")).otherwise(F.col("mixed"))).alias("mixed"))
     each = sums.withColumn("of", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
     return each.select(
         "doc_id", (fold == HELD_OUT).alias("held_out"), (F.col("tokens") / F.col("rows")).cast("long").alias("n_tokens"),
         (F.col("known") / F.col("rows")).cast("long").alias("n_known"), F.lit(int(tokens)).cast("long")
         .alias("train_tokens"), (F.col("base") / F.col("rows")).alias("base_score"),
-        (F.col("log") / F.col("rows")).alias("score"))
+        (F.col("log") / F.col("rows")).alias("score"), (F.col("mixed") / F.col("rows")).alias("word_score"))

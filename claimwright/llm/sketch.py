@@ -21,6 +21,9 @@ BLOCK_BITS = 18
 #: Counters of all rows together: 2^29 make 64 MB of flags.
 MAX_BITS = 2**29
 CELLS_PER_KEY = 4
+#: Keys that a task holds before it sends their sketch on. Fewer would make the gaps between counters, and so what is
+#: shuffled, larger.
+HELD_KEYS = 2_000_000
 #: Sketches of so many partitions are merged in one go; of more, first in groups of this size.
 MERGED_AT_ONCE = 256
 
@@ -55,8 +58,9 @@ def unpacked(data: bytes) -> np.ndarray:
 def partial(keys: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
     """The sketch of some keys: (block of counters, packed counters it hits)."""
     for row in range(DEPTH):
-        hit = np.sort(cells(keys, row, bits))
-        block = hit >> BLOCK_BITS
+        hit = cells(keys, row, bits)
+        hit.sort()
+        block = (hit >> BLOCK_BITS).astype(np.int32)
         cuts = np.flatnonzero(np.diff(block, prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(hit)]):
             first = int(block[a])
@@ -115,7 +119,9 @@ def merged_flags(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
         held, size = [], 0
 
         def rows():
-            pairs = list(partial(np.concatenate(held), bits))
+            keys = np.concatenate(held)
+            held.clear()
+            pairs = list(partial(keys, bits))
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int32()),
                                                pa.array([p[1] for p in pairs], pa.binary())], names=["block", "hits"])
 
@@ -123,11 +129,12 @@ def merged_flags(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
             for keys in keys_of(batch):
                 held.append(keys)
                 size += len(keys)
-                if size > 4_000_000:
+                if size > HELD_KEYS:
                     yield rows()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield rows()
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     empty = F.lit(None).cast("binary")
     parts = frame.mapInArrow(sketch, "block int, hits binary").select("block", "hits", empty.alias("once"),

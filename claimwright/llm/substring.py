@@ -122,6 +122,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, max_bits: int = MAX
     repeats = stored(rows.join(earliest, ["a", "b"]).where("earliest < id")
                      .groupBy("id", "copy").agg(F.array_sort(F.collect_set(F.col("place").cast("long"))).alias("marks"))
                      .unionByName(copies.withColumn("marks", F.array(F.lit(WHOLE).cast("long")))), "repeats")
+    for flags in (copied, twice):  # what follows reads stored tables only
+        flags.destroy()
 
     def result(text: str, places: np.ndarray) -> tuple:
         n, words = kept_words(text, places, window)

@@ -225,18 +225,26 @@ def test_vocabulary_covers_all_bytes():
     assert {bytes([b]) for b in range(256)} <= set(names) and math.isclose(np.exp(logs).sum(), 1)
 
 
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def trains(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2
+
+
 def brute_base(rows):
     counts, docs = Counter(), 0
     for doc_id, text in rows:
-        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2:
-            counts.update(h.words(text))
+        if trains(doc_id):
+            counts.update(h.words(lowered(text)))
             docs += 1
     if docs:
         counts["\n"] = docs
     n, v = sum(counts.values()), len(counts)
     out = Counter()
     for doc_id, text in rows:
-        own = [*h.words(text), "\n"]
+        own = [*h.words(lowered(text)), "\n"]
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own)
         held = None if doc_id is None else zlib.crc32(str(doc_id).encode()) % 7 == 2
         out[(doc_id, held, len(own), sum(counts[w] > 0 for w in own), n, round(base, 5))] += 1
@@ -258,9 +266,77 @@ def test_scores_of_words_sum_to_less_than_one(spark):
     probe = ["aa", "ab", "ba", "bb", "a", "b", "aab", "abab", "zz"]
     held = [k for k in range(1000, 3000) if zlib.crc32(str(k).encode()) % 7 == 2][:len(probe) + 1]
     rows += [(held[0], "")] + list(zip(held[1:], probe))
+    found = lattice.score_texts(h.documents(spark, rows), PIECES).collect()
+    for column, least in (("word_score", 0.5), ("score", 0.05)):
+        got = {r.doc_id: r[column] for r in found}
+        end = got[held[0]]
+        assert least < sum(10 ** (got[k] - end) for k in held[1:]) + 10**end <= 1 + 1e-9
+
+
+def segmentations(word, names):
+    """All ways to cut a word into pieces."""
+    if not word:
+        yield ()
+    for n in range(1, len(word) + 1):
+        if word[:n] in names:
+            for rest in segmentations(word[n:], names):
+                yield (word[:n], *rest)
+
+
+def brute_scores(rows):
+    """The marginal of every text, by listing all segmentations of its words."""
+    names, first = lattice.vocabulary(PIECES)
+    weight = dict(zip(names, np.exp(first)))
+    train = [h.words(lowered(text)) for doc_id, text in rows if trains(doc_id)]
+    uses = dict.fromkeys(names, lattice.ADDED)
+    for word in {w for words in train for w in words}:
+        ways = list(segmentations(b" " + word.encode(), weight))
+        each = [math.prod(weight[p] for p in way) for way in ways]
+        for way, p in zip(ways, each):
+            for piece in way:
+                uses[piece] += p / sum(each)
+    begins = sum(n for p, n in uses.items() if p[:1] == b" ")
+    whole = sum(uses.values())
+    stop = begins / whole
+
+    def of(piece):  # first piece of a word, or a later one after going on
+        return uses[piece] / begins if piece[:1] == b" " else uses[piece] / (whole - begins) * (1 - stop)
+
+    end = len(train) / (sum(map(len, train)) + len(train))
+    out = {}
+    for doc_id, text in rows:
+        total = math.log10(end)
+        for word in h.words(lowered(text)):
+            p = sum(math.prod(map(of, way)) for way in segmentations(b" " + word.encode(), weight))
+            total += math.log10(p * stop * (1 - end))
+        out[doc_id] = total
+    return out
+
+
+def test_score_is_the_marginal_of_all_segmentations(spark):
+    rows = [(k, f"The cat, {'Sat on' * (k % 3)} a mat {chr(97 + k)}ing ß日") for k in range(12)]
+    rows += [(12, "unseen Words qzx"), (13, None), (14, " ")]
+    want = brute_scores(rows)
     got = {r.doc_id: r.score for r in lattice.score_texts(h.documents(spark, rows), PIECES).collect()}
-    end = got[held[0]]
-    assert 0.5 < sum(10 ** (got[k] - end) for k in held[1:]) + 10**end <= 1 + 1e-9
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_long_words_one_by_one():
+    names, logs = lattice.vocabulary(PIECES)
+    grid = lattice.Lattice(names)
+    word = b" " + b"theantidis\xc3\xa9stablishment" * 8
+    arcs = grid.arcs([word])
+    assert np.allclose(grid.long_forward(word, logs.tolist()), grid.forward(arcs, logs)[:, 0])
+    uses = np.zeros(grid.size)
+    grid.long_expected(word, logs.tolist(), uses)
+    assert np.allclose(uses, grid.expected(arcs, logs, np.ones(1)))
+
+
+def test_a_word_of_a_million_bytes(spark):
+    rows = [(0, "a b c"), (1, "x" * 1_000_001), (9, "ab" * 500_000)]
+    got = {r.doc_id: r for r in lattice.score_texts(h.documents(spark, rows), PIECES).collect()}
+    assert got[1].n_tokens == 2 and got[1].score < -1000 and math.isfinite(got[9].score)
 
 
 # --- fingerprints -----------------------------------------------------------------------------------------------

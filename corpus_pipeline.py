@@ -7,20 +7,26 @@ of id and text, so null and repeated ids do no harm."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from claimwright.llm import decontaminate, jaccard, language, packing, pii
 from claimwright.llm.common import order_id, stored, table
 
 
+#: So many keys of rows that go are broadcast, counted up to that bound; more are joined by shuffle.
+FEW = 250_000
+
+
 def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows whose key is not in `gone` (key)."""
-    return docs.withColumn("_key", row_key()).join(gone.select(F.col("key").alias("_key")), "_key", "left_anti") \
-        .select(*docs.columns)
+    gone = stored(gone.select(F.col("key").alias("_key")).distinct(), "gone")
+    if gone.limit(FEW + 1).count() <= FEW:
+        gone = F.broadcast(gone)  # texts stay where they are
+    return docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = without(docs, gone)
     repeated = keyed.where(F.col("text") != "").groupBy("key").count().where("count > 1").select("key")
     if repeated.limit(1).count():  # rows with the same id and text
-        first = kept.withColumn("_key", row_key())
-        once = first.join(repeated.select(F.col("key").alias("_key")), "_key", "left_semi").dropDuplicates(["_key"])
+        again = kept.withColumn("_key", row_key()).join(repeated.select(F.col("key").alias("_key")), "_key", "left_semi")
+        ordered = Window.partitionBy("_key").orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")])
+        once = again.withColumn("_rank", F.row_number().over(ordered)).where("_rank = 1")
         kept = without(kept, repeated).unionByName(once.select(*docs.columns))
     return kept
 

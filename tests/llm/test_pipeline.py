@@ -82,7 +82,7 @@ def test_run(spark, tables):
 
 def test_all_queries_are_registered():
     names = sorted(n.split("_")[0] for n in QUERIES if n.startswith("op"))
-    assert names == sorted(f"op{k}" for k in range(1, 11))
+    assert names == sorted(f"op{k}" for k in range(1, 14))
 
 
 def test_entry_without_the_package(tmp_path):

@@ -34,7 +34,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Texts travel to workers a thousand at a time: ten thousand long ones are held several times over, in the
+    executor's direct memory and in the worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

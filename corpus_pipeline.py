@@ -6,17 +6,30 @@ of id and text, so null and repeated ids do no harm."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from claimwright.llm import decontaminate, jaccard, language, packing, pii
-from claimwright.llm.common import order_id, stored, table
+from claimwright.llm.common import order_id, stored, table, text_batches
 
 
 #: So many keys of rows that go are broadcast, counted up to that bound; more are joined by shuffle.
 FEW = 250_000
 
 
+def stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage, whose texts go to workers in small batches."""
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        text_batches(spark)
+        return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
@@ -29,6 +42,7 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").select(*docs.columns)
 
 
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts of no language go."""
     found = language.identify(language.document_evidence(docs.withColumn("doc_id", row_key())),
@@ -36,6 +50,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, found.where(~F.col("kept")).select(F.col("doc_id").alias("key")))
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, likeness 0.8) the document with the smallest id stays."""
     keyed = docs.select(row_key().alias("key"), order_id().alias("id"), "text")
@@ -54,6 +69,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
     found = decontaminate.contamination(docs.select(row_key().alias("doc_id"), "text"),
@@ -61,11 +77,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without(docs, found.where("contaminated").select(F.col("doc_id").alias("key")))
 
 
+@stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by the name of its kind."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and offset."""
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
@@ -85,6 +103,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for name, work in STAGES:
+        docs = stored(work(spark, docs, sf_dir), name)
     return docs

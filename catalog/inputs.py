@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 from zlib import crc32
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimwright.ml.training import save_model, train_gbt, train_lr, train_test
 from claimwright.operators.evaluation import class_metrics, threshold_predictions, with_label
@@ -16,8 +16,9 @@ from claimwright.operators.sampling import hash_split
 from claimwright.plans.features import build_features, clean_batch
 from claimwright.schema import PROCEDURES
 from claimwright.session import shared_dir
-from claimwright.sources.streams import TOPIC
+from claimwright.sources.streams import TOPIC, captured_messages
 from claimwright.sources.tables import read_raw_claims, save_parquet, write_raw_claims
+from claimwright.streaming import ledger
 from catalog.tpch import order_lines, source_claims
 
 AS_OF = datetime(2024, 1, 1)
@@ -75,6 +76,36 @@ def captured_path(spark: SparkSession, sf_dir: str) -> str:
     return stored(spark, sf_dir, "captured", lambda path: messages(spark, sf_dir).hint("rebalance").write.parquet(path))
 
 
+#: Arrivals of a stream that runs for years: one file per year of shipping, some messages two years late.
+ARRIVALS = 9
+
+
+def arrival() -> Column:
+    year = F.least(F.greatest(F.year("timestamp") - 1992, F.lit(0)), F.lit(ARRIVALS - 3))
+    return year + F.when(F.floor(F.col("offset") / 8) % 17 == 0, 2).otherwise(0)
+
+
+def append_arrivals(spark: SparkSession, sf_dir: str, path: str, numbers: Iterable[int]) -> None:
+    """Messages as one file for each arrival, written in that order."""
+    rows = spark.read.parquet(captured_path(spark, sf_dir)).withColumn("arrival", arrival())
+    for number in numbers:
+        rows.where(F.col("arrival") == number).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+
+
+def landing(spark: SparkSession, sf_dir: str, path: str) -> ledger.Landing:
+    return ledger.Landing(f"{path}/data", f"{path}/state", horizon="400 days", as_of=AS_OF, buckets=16, run=4)
+
+
+def landed_years(spark: SparkSession, sf_dir: str) -> ledger.Landing:
+    """The arrivals landed with a horizon of 400 days, each a batch."""
+    def build(path: str) -> None:
+        append_arrivals(spark, sf_dir, f"{path}/messages", range(ARRIVALS))
+        ledger.land_with_ledger(captured_messages(spark, f"{path}/messages", files_per_trigger=1),
+                                landing(spark, sf_dir, path), f"{path}/checkpoint", trigger=None).awaitTermination()
+
+    return landing(spark, sf_dir, stored(spark, sf_dir, "landed_years", build))
+
+
 def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of which some are malformed and some hold an age of the wrong type."""
     text = F.col("value").cast("string")

@@ -554,7 +554,65 @@ FROM claims LEFT JOIN providers USING (provider_id)""")
 
 ORACLES["stream_ingest_claims"] = on(CLEAN, f"SELECT DISTINCT {STABLE}, true AS is_candidate FROM clean")
 ORACLES["stream_dedup_global"] = on(CLEAN, "SELECT DISTINCT claim_id, patient_id FROM clean")
-ORACLES["stream_dedup_watermark"] = ORACLES["stream_dedup_global"]
+
+
+def batch_by_batch(last: int = 9, horizon: str = "400 days") -> str:
+    """The stream's batches one after another: what of each is late, and what lands beside what landed before."""
+    stages = [f"""
+timed AS (
+  SELECT *, coalesce(submission_ts, kafka_ts) AS event_ts FROM clean),
+messages AS (
+  SELECT least(greatest(year(kafka_ts) - 1992, 0), {last - 3})
+    + CASE WHEN kafka_offset // 8 % 17 = 0 THEN 2 ELSE 0 END AS batch, * FROM source),
+arrived AS (
+  SELECT least(greatest(year(kafka_ts) - 1992, 0), {last - 3})
+    + CASE WHEN kafka_offset // 8 % 17 = 0 THEN 2 ELSE 0 END AS batch, * FROM timed),
+marks AS (
+  SELECT b.batch, max(a.event_ts) FILTER (a.batch = b.batch) AS newest,
+    max(a.event_ts) FILTER (a.batch < b.batch) - INTERVAL '{horizon}' AS watermark
+  FROM (SELECT unnest(range({last})) AS batch) b, arrived a GROUP BY b.batch),
+marked AS (
+  SELECT a.*, watermark, watermark IS NOT NULL AND event_ts < watermark AS is_late FROM arrived a JOIN marks USING (batch)),
+firsts AS (
+  SELECT * FROM marked WHERE NOT is_late
+  QUALIFY row_number() OVER (
+    PARTITION BY batch, claim_id
+    ORDER BY kafka_ts, kafka_partition, kafka_offset, claim_amount DESC, bmi, provider_id, submission_timestamp,
+      procedure_code, diagnosis_code) = 1),
+landed_0 AS (SELECT * FROM firsts WHERE batch = 0)"""]
+    for k in range(1, last):
+        before = " UNION ALL ".join(f"SELECT claim_id, event_ts FROM landed_{j}" for j in range(k))
+        stages.append(f"""
+landed_{k} AS (
+  SELECT * FROM firsts f WHERE batch = {k} AND NOT EXISTS (
+    SELECT 1 FROM ({before}) b WHERE b.claim_id = f.claim_id AND b.event_ts >= f.watermark))""")
+    every = " UNION ALL ".join(f"SELECT * FROM landed_{k}" for k in range(last))
+    return ",".join([CLEAN, *stages, f" landed AS ({every})"])
+
+
+LANDED = batch_by_batch()
+_time = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
+_landed_columns = (f"claim_id, claim_amount, {_time.format('submission_ts')}, {_time.format('kafka_ts')}, kafka_offset, "
+                   "region, batch::bigint AS batch")
+_batch_counts = """, batches AS (
+  SELECT b.batch::bigint AS batch,
+    (SELECT count(*) FROM messages m WHERE m.batch = b.batch) AS received,
+    (SELECT count(*) FROM marked k WHERE k.batch = b.batch) AS valid,
+    (SELECT count(*) FROM marked k WHERE k.batch = b.batch AND is_late) AS late,
+    (SELECT count(*) FROM landed l WHERE l.batch = b.batch) AS landed
+  FROM marks b)"""
+ORACLES["stream_dedup_watermark"] = on(LANDED, f"SELECT {_landed_columns} FROM landed")
+ORACLES["stream_late_claims"] = on(LANDED, f"SELECT {_landed_columns} FROM marked WHERE is_late")
+ORACLES["stream_batch_ledger"] = on(LANDED + _batch_counts, f"""
+SELECT batch, received, received - valid AS rejected, late, valid - late - landed AS repeated, landed,
+  {_time.format('newest')}, {_time.format('watermark')}
+FROM batches JOIN marks USING (batch)""")
+ORACLES["stream_restarted"] = on(LANDED + _batch_counts, """
+SELECT sum(received)::bigint AS received, sum(received - valid)::bigint AS rejected, sum(late)::bigint AS late,
+  sum(valid - late - landed)::bigint AS repeated, sum(landed)::bigint AS landed,
+  (SELECT count(*) FROM landed) AS rows, (SELECT count(DISTINCT claim_id) FROM landed) AS claims,
+  (SELECT count(DISTINCT batch) FROM landed) AS batches
+FROM batches""")
 # a window is closed when the watermark, an hour behind the newest event, has passed its end
 ORACLES["stream_hourly_counts"] = _by_hour.format(
     where=f"{_hour} + INTERVAL 1 HOUR <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR")

@@ -27,7 +27,7 @@ from claimwright.schema import CATEGORY_INDEX, CLAIM_SCHEMA, FEATURES, RAW_SCHEM
 from claimwright.sources import external, tables
 from claimwright.sources.streams import captured_messages
 from catalog.tpch import source_claims
-from claimwright.streaming import hourly, ingest
+from claimwright.streaming import hourly, ingest, ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -454,14 +454,45 @@ def stream_dedup_global(spark, sf_dir):
                   partition_by=None)
 
 
+def _landed(rows: DataFrame) -> DataFrame:
+    return rows.select("claim_id", "claim_amount", text("submission_ts"), text("kafka_ts"), "kafka_offset", "region", "batch")
+
+
 @query
 def stream_dedup_watermark(spark, sf_dir):
-    # the horizon spans the data, so nothing is late and nothing is forgotten
-    stream = normalise(
-        validate(decode_messages(several_batches(spark, sf_dir))), src.AS_OF
-    )
-    unique = ingest.dedup_stream_within(stream, "3650 days").select("claim_id", "patient_id")
-    return landed(spark, unique, "dedup_watermark", partition_by=None)
+    """Nine batches and a horizon of some two of them: ids are forgotten and land again."""
+    return _landed(ledger.landed(spark, src.landed_years(spark, sf_dir)))
+
+
+@query
+def stream_late_claims(spark, sf_dir):
+    """What came behind the watermark, in its own table."""
+    return _landed(ledger.landed(spark, src.landed_years(spark, sf_dir), "late"))
+
+
+@query
+def stream_batch_ledger(spark, sf_dir):
+    return ledger.ledger(spark, src.landed_years(spark, sf_dir)).select(
+        "batch", "received", "rejected", "late", "repeated", "landed", text("newest"), text("watermark"))
+
+
+@query
+def stream_restarted(spark, sf_dir):
+    """A query on a processing-time trigger, stopped and started again from its checkpoint while messages come in."""
+    path = src.new_dir(spark, "restarted")
+    landing = src.landing(spark, sf_dir, path)
+    for numbers in (range(4), range(4, src.ARRIVALS)):
+        src.append_arrivals(spark, sf_dir, f"{path}/messages", numbers)
+        running = ledger.land_with_ledger(captured_messages(spark, f"{path}/messages", files_per_trigger=1), landing,
+                                          f"{path}/checkpoint", trigger="1 second")
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    rows = ledger.landed(spark, landing).agg(
+        F.count("*").alias("rows"), F.countDistinct("claim_id").alias("claims"),
+        F.countDistinct("batch").cast("long").alias("batches"))
+    return ledger.totals(spark, landing).crossJoin(F.broadcast(rows))  # one row each
 
 
 @query

@@ -17,7 +17,8 @@ from claimwright.plans import benchmarks, reports, workflow
 from claimwright.session import build_session, size_shuffles
 from claimwright.sources.streams import OFFSETS_PER_TRIGGER, TOPIC, captured_messages, kafka_messages
 from claimwright.sources.tables import input_summary, require_input
-from claimwright.streaming.ingest import TRIGGER, clean_stream, land_stream, late_rows
+from claimwright.streaming.ingest import TRIGGER
+from claimwright.streaming.ledger import Landing, land_with_ledger, totals
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -30,10 +31,8 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
             offsets_per_trigger=args.offsets_per_trigger, min_partitions=args.min_partitions,
             fail_on_data_loss=not args.accept_data_loss,
         )
-    query = land_stream(
-        clean_stream(messages, horizon=args.horizon), args.raw, args.checkpoint,
-        trigger=None if args.once else args.trigger,
-    )
+    landing = Landing(args.raw, args.state or f"{args.checkpoint.rstrip('/')}-ledger", horizon=args.horizon)
+    query = land_with_ledger(messages, landing, args.checkpoint, trigger=None if args.once else args.trigger)
     stop = lambda *_: query.stop()  # noqa: E731  a batch in work is finished or taken again after a restart
     before = {s: signal.signal(s, stop) for s in (signal.SIGTERM, signal.SIGINT)}
     try:
@@ -41,7 +40,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     finally:
         for number, handler in before.items():
             signal.signal(number, handler)
-        print(f"late claims left out: {late_rows(query)}")
+        totals(spark, landing).show()
 
 
 def _sized(spark: SparkSession, path: str) -> None:
@@ -105,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--offsets-per-trigger", type=int, default=OFFSETS_PER_TRIGGER)
     job.add_argument("--raw", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--state", help="ledger, late claims and remembered ids; default: beside the checkpoint")
     job.add_argument("--trigger", default=TRIGGER)
     job.add_argument("--horizon", help="forget claim ids after this event time, e.g. '30 days'")
     job.add_argument("--once", action="store_true")

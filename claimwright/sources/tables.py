@@ -12,8 +12,9 @@ class NoInputError(RuntimeError):
 
 
 def read_raw_claims(spark: SparkSession, path: str) -> DataFrame:
-    """Raw claims with their declared schema; a filter on `region` prunes folders."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    """Raw claims with their declared schema; a filter on `region` prunes folders. Folders of batches above the
+    regions make no difference."""
+    return spark.read.schema(RAW_SCHEMA).parquet(path).select([f.name for f in RAW_SCHEMA])
 
 
 def write_raw_claims(claims: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimwright.ml.training import save_model, train_gbt, train_lr, train_test
+from claimwright.ml.training import save_model, train_explained_gbt, train_gbt, train_lr, train_test
 from claimwright.operators.evaluation import class_metrics, threshold_predictions, with_label
 from claimwright.operators.messages import encode_messages
 from claimwright.operators.sampling import hash_split
@@ -205,3 +205,9 @@ def gbt_path(spark: SparkSession, sf_dir: str) -> str:
 def lr_path(spark: SparkSession, sf_dir: str) -> str:
     train = train_path(spark, sf_dir)
     return stored(spark, sf_dir, "lr", lambda path: save_model(train_lr(spark.read.parquet(train)), path))
+
+
+def explained_gbt_path(spark: SparkSession, sf_dir: str) -> str:
+    train = train_path(spark, sf_dir)
+    return stored(spark, sf_dir, "explained_gbt", lambda path: save_model(
+        train_explained_gbt(spark.read.parquet(train)), path))

@@ -634,6 +634,25 @@ points AS (
 SELECT {r('sum(n * (tp - p / 2)) / max(all_p * all_n)', 4)} AS auc_roc,
   {r('sum(p / all_p * (prec + coalesce(prev, prec)) / 2)', 4)} AS auc_pr
 FROM points""")
+# areas by pairs of a fraud and a normal claim, ties half
+ORACLES["auc_by_procedure"] = on(PREDICTIONS, f""",
+steps AS (
+  SELECT procedure_code, claim_amount AS s, sum(label)::double AS p, sum(1 - label)::double AS n
+  FROM predictions GROUP BY 1, 2),
+totals AS (SELECT procedure_code, sum(p) AS all_p, sum(n) AS all_n FROM steps GROUP BY 1),
+pairs AS (
+  SELECT procedure_code, sum(p * (below + n / 2)) AS won
+  FROM (SELECT *, coalesce(sum(n) OVER (PARTITION BY procedure_code ORDER BY s
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM steps) GROUP BY 1),
+points AS (
+  SELECT procedure_code, p, s, sum(p) OVER w / (sum(p) OVER w + sum(n) OVER w) AS prec
+  FROM steps WINDOW w AS (PARTITION BY procedure_code ORDER BY s DESC)),
+curve AS (
+  SELECT procedure_code, sum(p * (prec + coalesce(prev, prec)) / 2) AS area
+  FROM (SELECT *, lag(prec) OVER (PARTITION BY procedure_code ORDER BY s DESC) AS prev FROM points) GROUP BY 1)
+SELECT procedure_code, CASE WHEN all_p * all_n > 0 THEN {r('won / nullif(all_p * all_n, 0)', 6)} END AS auc_roc,
+  CASE WHEN all_p > 0 THEN {r('area / nullif(all_p, 0)', 6)} END AS auc_pr
+FROM totals JOIN pairs USING (procedure_code) JOIN curve USING (procedure_code)""")
 ORACLES["multiclass_metrics"] = on(PREDICTIONS + "," + weighted_metrics(), "SELECT " + ", ".join(
     f'{r(m, 4)} AS {m}' for m in ("f1", '"precision"', "recall", "accuracy")) + " FROM metrics")
 ORACLES["split_accuracy"] = on(PREDICTIONS, f"""
@@ -641,6 +660,13 @@ SELECT split, count(*) AS n, {r('avg((label = prediction)::int)', 4)} AS accurac
 _test_rows = "SELECT count(*) AS n_rows, 0::bigint AS {column} FROM predictions WHERE split = 'test'"
 ORACLES["model_roundtrip"] = on(PREDICTIONS, _test_rows.format(column="different"))
 ORACLES["tree_shap_additivity"] = on(CLAIMS, "SELECT count(*) AS n_rows, 0::bigint AS not_additive FROM claims")
+ORACLES["explained_gbt_additivity"] = ORACLES["tree_shap_additivity"]
+ORACLES["tree_walk"] = ("SELECT 80::bigint AS n_trees, 0::bigint AS not_reached, 0::bigint AS too_deep, "
+                        "0::bigint AS wrong_rows")
+ORACLES["dependence_rows"] = on(CLAIMS, "SELECT 10::bigint AS n_features, count(*) AS fewest, count(*) AS most FROM claims")
+ORACLES["predict_as_expression"] = on(PREDICTIONS, """
+SELECT count(*) AS n_rows, 0::bigint AS other_prediction, 0::bigint AS other_margin FROM predictions WHERE split = 'test'""")
+ORACLES["lr_gradient"] = "SELECT unnest([" + ", ".join(f"'{f}'" for f in ["intercept", *FEATURES]) + "]) AS term, true AS is_zero"
 ORACLES["unusable_rows"] = on(CLAIMS, 'SELECT count(*) AS "rows", 0::bigint AS skipped_rows FROM claims')
 _weight = {f: (i + 1) / 100 for i, f in enumerate(FEATURES)}
 ORACLES["linear_shap"] = on(INDEX_ROWS, """,

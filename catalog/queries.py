@@ -530,12 +530,28 @@ def gbt_train(spark, sf_dir):
     )
 
 
+def _search(spark, sf_dir):
+    """Folder of the grid search's results and out-of-fold scores."""
+    def build(path: str) -> None:
+        found = training.cross_validate_gbt(src.train_rows(spark, sf_dir), path=path)
+        spark.createDataFrame(
+            training.cv_results(found), "maxIter int, maxDepth int, mean_auc double, is_best boolean"
+        ).write.parquet(f"{path}/results")
+
+    return src.stored(spark, sf_dir, "search", build)
+
+
 @query
 def gbt_cv(spark, sf_dir):
-    found = training.cross_validate_gbt(src.train_rows(spark, sf_dir))
-    return spark.createDataFrame(
-        training.cv_results(found), "maxIter int, maxDepth int, mean_auc double, is_best boolean"
-    )
+    return spark.read.parquet(f"{_search(spark, sf_dir)}/results")
+
+
+@query
+def out_of_fold_scores(spark, sf_dir):
+    """Each training row has one score for each combination, from the fold it is held out in."""
+    scores = spark.read.parquet(f"{_search(spark, sf_dir)}/scores")
+    return scores.groupBy("combination", "fold").agg(
+        F.count("score").alias("n_rows"), F.countDistinct("claim_id").alias("n_claims"), F.sum("label").alias("n_fraud"))
 
 
 @query
@@ -557,6 +573,26 @@ def predict(spark, sf_dir):
     )
 
 
+@query
+def predict_as_expression(spark, sf_dir):
+    """The stored ensemble as CASE expressions against the model's own scores: rows where they differ."""
+    margin = trees.margin_expression(trees.tree_nodes(spark, src.gbt_path(spark, sf_dir)), FEATURES)
+    rows = _scored(spark, sf_dir).withColumn("margin", margin)
+    own = vector_to_array("rawPrediction")[1]
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if((F.col("margin") > 0).cast("double") != F.col("prediction")).alias("other_prediction"),
+        F.count_if(~F.coalesce(F.abs(F.col("margin") - own) < 1e-9, F.lit(False))).alias("other_margin"))
+
+
+@query
+def lr_gradient(spark, sf_dir):
+    """The gradient of the fitted logistic regression's loss: no term is away from 0."""
+    model = PipelineModel.load(src.lr_path(spark, sf_dir))
+    rows = training.lr_gradient(spark.read.parquet(src.train_path(spark, sf_dir)), model)
+    return rows.select("term", (F.abs("gradient") < 1e-3).alias("is_zero"))
+
+
 @query
 def model_metrics(spark, sf_dir):
     run_ts = datetime(2024, 1, 8, 2)
@@ -596,12 +632,16 @@ def threshold_rule_predictions(spark, sf_dir):
 
 @query
 def binary_auc(spark, sf_dir):
-    scored = src.rule_predictions(spark, sf_dir).select("label", "anomaly_score_proxy")
-    values = [
-        round(evaluation.binary_auc(scored, "anomaly_score_proxy", metric), 4)
-        for metric in ("areaUnderROC", "areaUnderPR")
-    ]
-    return spark.createDataFrame([tuple(values)], "auc_roc double, auc_pr double")
+    found = evaluation.exact_auc(src.rule_predictions(spark, sf_dir), "anomaly_score_proxy", src.new_dir(spark, "ranks"))
+    return _rounded(found, ["auc_roc", "auc_pr"])
+
+
+@query
+def auc_by_procedure(spark, sf_dir):
+    """Claim amounts as a score, by procedure: nearly every score is distinct."""
+    rows = src.rule_predictions(spark, sf_dir).select("label", "claim_amount", "procedure_code")
+    found = evaluation.exact_auc(rows, "claim_amount", src.new_dir(spark, "ranks"), "procedure_code")
+    return _rounded(found, ["auc_roc", "auc_pr"], 6)
 
 
 @query
@@ -640,6 +680,40 @@ def tree_shap_additivity(spark, sf_dir):
     )
 
 
+@query
+def explained_gbt_additivity(spark, sf_dir):
+    """The ensemble that is meant for explanation: its attributions add up to its margin."""
+    path = src.explained_gbt_path(spark, sf_dir)
+    scored = PipelineModel.load(path).transform(evaluation.with_label(src.features(spark, sf_dir)))
+    total = F.col("base_value")
+    for f in FEATURES:
+        total = total + F.col(f"shap_{f}")
+    gap = F.abs(total - vector_to_array("rawPrediction")[1])
+    return attribution.tree_shap(scored, path).agg(
+        F.count("*").alias("n_rows"), F.count_if(gap > 1e-9).alias("not_additive"))
+
+
+@query
+def tree_walk(spark, sf_dir):
+    """The node relation walked from the roots by a recursive query: every node is reached once, no deeper than the
+    trees may be, and the training rows of a node are those of its children."""
+    nodes = tables.save_parquet(trees.tree_nodes(spark, src.gbt_path(spark, sf_dir)), src.new_dir(spark, "nodes"))
+    return spark.sql("""
+        WITH RECURSIVE walk(tree_id, node_id, depth, n_rows, left_child, right_child) AS (
+          SELECT tree_id, node_id, 0, n_rows, left_child, right_child FROM {nodes} WHERE node_id = 0
+          UNION ALL
+          SELECT n.tree_id, n.node_id, w.depth + 1, n.n_rows, n.left_child, n.right_child
+          FROM walk w JOIN {nodes} n ON n.tree_id = w.tree_id AND n.node_id IN (w.left_child, w.right_child)),
+        children AS (
+          SELECT w.tree_id, w.node_id, any_value(w.n_rows) AS n_rows, sum(c.n_rows) AS below
+          FROM walk w JOIN {nodes} c ON c.tree_id = w.tree_id AND c.node_id IN (w.left_child, w.right_child)
+          GROUP BY w.tree_id, w.node_id)
+        SELECT (SELECT count(DISTINCT tree_id) FROM walk) AS n_trees,
+          (SELECT count(*) FROM {nodes}) - (SELECT count(*) FROM walk) AS not_reached,
+          (SELECT count_if(depth > 5) FROM walk) AS too_deep,
+          (SELECT count_if(n_rows <> below) FROM children) AS wrong_rows""", nodes=nodes)
+
+
 @query
 def linear_shap(spark, sf_dir):
     explained = attribution.linear_shap(src.features(spark, sf_dir), LINEAR_WEIGHTS)
@@ -665,6 +739,13 @@ def dependence_data(spark, sf_dir):
     return attribution.dependence_bins(explained, [row["feature"] for row in top.collect()])
 
 
+@query
+def dependence_rows(spark, sf_dir):
+    """Every claim is in one bin of each feature."""
+    bins = dependence_data(spark, sf_dir).groupBy("feature").agg(F.sum("n").alias("n"))
+    return bins.agg(F.count("*").alias("n_features"), F.min("n").alias("fewest"), F.max("n").alias("most"))
+
+
 # --- quality, workflow ----------------------------------------------------------------------------------
 
 

@@ -10,15 +10,15 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.util import inheritable_thread_target
 
-from claimwright.operators.evaluation import METRIC_NAMES, binary_auc, class_metrics, with_label
+from claimwright.operators.evaluation import METRIC_NAMES, class_metrics, exact_auc, with_label
 from claimwright.operators.sampling import SEED, first_by_hash, hash_split, oversample_poisson, uniform
 from claimwright.schema import FEATURES
+from claimwright.session import scratch_dir
 
 # Model parameters, the search grid and the prediction sample.
 GBT_PARAMS = dict(maxIter=80, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="sqrt", seed=SEED)
@@ -33,8 +33,6 @@ SAMPLE_COLUMNS = [
     "days_since_last_claim", "anomaly_score_proxy", "label", "prediction",
 ]
 SAMPLE_ROWS = 600
-# Evaluator default: curves over at most this many score thresholds.
-CURVE_BINS = 1000
 
 MODELS = ("gbt", "logistic_regression")
 
@@ -106,62 +104,110 @@ def with_fold(rows: DataFrame, folds: int = CV_FOLDS, key: str = "claim_id") ->
 
 @dataclass(frozen=True)
 class GridSearch:
-    """Mean AUC of each combination, in grid order, and the best one fitted on all training rows."""
+    """Mean AUC over the folds of each combination, in grid order, the first best one fitted on all training rows, and
+    where the scores of all rows lie that a model gave which had not seen them (`combination`, `fold`, `claim_id`,
+    `label`, `score`)."""
 
     combinations: list[dict]
     auc: list[float]
     best: PipelineModel
+    scores: str
+
+
+def out_of_fold(train: DataFrame, combinations: list[dict], folds: int, path: str, parallelism: int,
+                oversample: Callable[[DataFrame], DataFrame], **params) -> DataFrame:
+    """Each row scored, for each combination, by the one model that has not seen its claim; stored.
+
+    Folds are drawn by claim, and only the part that is fitted on is oversampled. Several fits run at a time, each of
+    them distributed."""
+    def score(fitted_on: DataFrame, held: DataFrame, fold: int, number: int) -> None:
+        model = gbt(**{**params, **combinations[number]}).fit(fitted_on)
+        model.transform(held).select("claim_id", "label", vector_to_array("rawPrediction")[1].alias("score")).write.mode(
+            "overwrite").parquet(f"{path}/combination={number}/fold={fold}")
+
+    for fold in range(folds):
+        fitted_on = oversample(train.filter(F.col("fold") != fold)).select("label", "features").persist()
+        held = train.filter(F.col("fold") == fold).select("claim_id", "label", "features")
+        try:
+            with ThreadPool(parallelism) as pool:
+                pool.map(inheritable_thread_target(
+                    lambda number, fold=fold: score(fitted_on, held, fold, number)), range(len(combinations)))
+        finally:
+            fitted_on.unpersist()
+    return train.sparkSession.read.parquet(path)
 
 
 def cross_validate_gbt(train: DataFrame, *, grid: dict[str, list] | None = None, folds: int = CV_FOLDS,
                        parallelism: int = 4, oversample: Callable[[DataFrame], DataFrame] = oversample_poisson,
-                       **params) -> GridSearch:
-    """Grid search by area under ROC over training rows as they are, not oversampled.
-
-    Folds are drawn by claim, and only the part that is fitted on is oversampled, so no copy of a claim is scored by a
-    model that has seen it. Vectors are assembled once; several fits run at a time, each of them distributed."""
+                       path: str | None = None, **params) -> GridSearch:
+    """Grid search by exact area under ROC over training rows as they are, not oversampled. Vectors are assembled once;
+    scores go to `path` (a folder of the shared folder by default)."""
     grid = grid or GBT_GRID
     combinations = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    path = path or scratch_dir(train.sparkSession, "out_of_fold")
     rows = with_fold(assembler().transform(train.select("claim_id", "is_fraud", "label", *FEATURES))
                      .select("claim_id", "is_fraud", "label", "features"), folds).hint("rebalance").persist()
-    totals = [0.0] * len(combinations)
     try:
-        for fold in range(folds):
-            fitted_on = oversample(rows.filter(F.col("fold") != fold)).select("label", "features").persist()
-            held = rows.filter(F.col("fold") == fold).select("label", "features")
-            try:
-                with ThreadPool(parallelism) as pool:
-                    scores = pool.map(inheritable_thread_target(lambda combination: evaluator.evaluate(
-                        gbt(**{**params, **combination}).fit(fitted_on).transform(held))), combinations)
-            finally:
-                fitted_on.unpersist()
-            totals = [t + s for t, s in zip(totals, scores)]
-        best = combinations[max(range(len(totals)), key=totals.__getitem__)]
+        scores = out_of_fold(rows, combinations, folds, f"{path}/scores", parallelism, oversample, **params)
+        found = exact_auc(scores, "score", f"{path}/ranks", "combination", "fold").groupBy("combination").agg(
+            F.avg("auc_roc").alias("auc")).collect()  # a row per combination
+        by_number = {r["combination"]: r["auc"] for r in found}
+        auc = [float("nan") if by_number.get(k) is None else by_number[k] for k in range(len(combinations))]
+        best = combinations[best_of(auc)]
         model = gbt(**{**params, **best}).fit(oversample(rows).select("label", "features"))
     finally:
         rows.unpersist()
-    return GridSearch(combinations, [t / folds for t in totals], PipelineModel(stages=[assembler(), model]))
+    return GridSearch(combinations, auc, PipelineModel(stages=[assembler(), model]), f"{path}/scores")
+
+
+def best_of(auc: list[float]) -> int:
+    """The first of the highest; one without a value (a fold without both classes) only if all are."""
+    return max(range(len(auc)), key=lambda k: (auc[k] == auc[k], auc[k] if auc[k] == auc[k] else 0.0, -k))
 
 
 def cv_results(found: GridSearch) -> list[tuple]:
     """`(maxIter, maxDepth, ..., mean AUC, is_best)` per combination, in grid order."""
-    best = max(found.auc)
-    return [(*[int(v) for v in c.values()], auc, auc == best) for c, auc in zip(found.combinations, found.auc)]
+    best = best_of(found.auc)
+    return [(*[int(v) for v in c.values()], auc, k == best)
+            for k, (c, auc) in enumerate(zip(found.combinations, found.auc))]
+
+
+def lr_gradient(train: DataFrame, model: PipelineModel, reg: float = LR_PARAMS["regParam"]) -> DataFrame:
+    """`(term, gradient)` of the regularised loss at a logistic regression's coefficients, per feature and for the
+    intercept: all are 0 at the optimum. Features count in units of their standard deviation, as the fit takes them.
+
+    Two aggregations over the training rows, built-in expressions only; nulls are left out as in the fit."""
+    fitted = model.stages[-1]
+    weights = dict(zip(FEATURES, (float(w) for w in fitted.coefficients.toArray())))
+    rows = train.select("label", *[F.col(f).cast("double").alias(f) for f in FEATURES]).dropna()
+    rows = rows.where(~F.greatest(*[F.isnan(f) for f in FEATURES]))
+    spread = rows.agg(*[F.stddev_samp(f).alias(f) for f in FEATURES]).first()
+    margin = F.lit(float(fitted.intercept))
+    for name, weight in weights.items():
+        margin = margin + weight * F.col(name)
+    wrong = rows.withColumn("_wrong", 1 / (1 + F.exp(-margin)) - F.col("label"))
+    row = wrong.agg(F.avg("_wrong").alias("intercept"), *[
+        (F.avg(F.col("_wrong") * F.col(f)) / spread[f] + reg * weights[f] * spread[f]).alias(f)
+        if spread[f] else F.lit(0.0).alias(f) for f in FEATURES])
+    terms = ["intercept", *FEATURES]
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(t).alias("term"), F.col(t).alias("gradient")) for t in terms])).alias("s")).select("s.*")
 
 
 def evaluate(predictions: DataFrame, model: str, run_ts: datetime) -> DataFrame:
     """The six metrics as rows `(model, metric_name, metric_value, run_ts)`, four decimals.
 
-    Precision, recall and f1 are class-weighted. Scoring happens once: the three passes read kept scores."""
-    scored = predictions.select("label", "prediction", "rawPrediction").persist()
+    Precision, recall and f1 are class-weighted, the areas exact. Scoring happens once: what follows reads kept scores."""
+    scored = predictions.select(
+        "label", "prediction", vector_to_array("rawPrediction")[1].alias("score")).persist()
     try:
         values = class_metrics(scored).first().asDict()
-        values["auc_roc"] = binary_auc(scored, "rawPrediction", "areaUnderROC", CURVE_BINS)
-        values["auc_pr"] = binary_auc(scored, "rawPrediction", "areaUnderPR", CURVE_BINS)
+        ranks = scratch_dir(predictions.sparkSession, "ranks")
+        values.update(exact_auc(scored, "score", ranks).first().asDict())
     finally:
         scored.unpersist()
-    rows = [(model, name, round(float(values[name]), 4), run_ts) for name in METRIC_NAMES]
+    rows = [(model, name, None if values[name] is None else round(float(values[name]), 4), run_ts)
+            for name in METRIC_NAMES]
     return predictions.sparkSession.createDataFrame(
         rows, "model string, metric_name string, metric_value double, run_ts timestamp"
     )

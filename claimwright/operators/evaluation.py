@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # Reported metric names, in order.
 METRIC_NAMES = ["auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy"]
@@ -75,12 +74,49 @@ def class_metrics(predictions: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def binary_auc(predictions: DataFrame, score: str, metric: str = "areaUnderROC", bins: int = 0) -> float:
-    """Area under the ROC or precision-recall curve. `bins=0` uses every distinct score; the curve is built by
-    a distributed sort of score counts."""
-    return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol=score, metricName=metric, numBins=bins
-    ).evaluate(predictions.select("label", score))
+def score_ranks(predictions: DataFrame, score: str, path: str, *by: str) -> DataFrame:
+    """One row per distinct score (and value of `by`): positives and negatives with that score (`p`, `n`), those above
+    it (`p_above`, `n_above`) and all (`p_all`, `n_all`).
+
+    Rows are combined to counts per score first. Those are dealt by range and written to `path`, so each part is a
+    stretch of the ranking however many rows share a score; running sums stay within a part, and the parts before it
+    add one number each (one row per part and group, broadcast)."""
+    spark = predictions.sparkSession
+    steps = predictions.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
+    steps.repartitionByRange(*by, F.desc("score")).withColumn("part", F.spark_partition_id()).write.mode(
+        "overwrite").parquet(path)
+    steps = spark.read.parquet(path)
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = steps.groupBy(*by, "part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    parts = parts.select(
+        *[F.col(c).alias(f"_{c}") for c in (*by, "part")],
+        *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"{c}_before") for c in "pn"],
+        *[F.sum(f"_{c}").over(whole).alias(f"{c}_all") for c in "pn"])
+    same = F.col("part") == F.col("_part")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    within = Window.partitionBy(*by, "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    return steps.join(F.broadcast(parts), same).select(
+        *by, "score", "p", "n",
+        *[(F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"{c}_before")).alias(f"{c}_above") for c in "pn"],
+        "p_all", "n_all")
+
+
+def exact_auc(predictions: DataFrame, score: str, path: str, *by: str) -> DataFrame:
+    """`auc_roc` and `auc_pr` over every distinct score, overall or per value of `by`; null where a class is missing.
+
+    Tied scores are one step, so the area under the ROC is the share of pairs ranked rightly, ties half. The curve of
+    precision begins at recall 0 with the precision of the highest score."""
+    ranks = score_ranks(predictions, score, path, *by)
+    p, n, tp, fp = (F.col(c).cast("double") for c in ("p", "n", "p_above", "n_above"))
+    precision = F.try_divide(tp + p, tp + p + fp + n)
+    earlier = F.coalesce(F.try_divide(tp, tp + fp), precision)
+    pairs = n * (tp + p / 2)
+    return ranks.groupBy(*by).agg(
+        F.try_divide(F.sum(pairs), F.max("p_all").cast("double") * F.max("n_all")).alias("auc_roc"),
+        F.try_divide(F.sum(p * (precision + earlier) / 2), F.max("p_all").cast("double")).alias("auc_pr"))
 
 
 def split_accuracy(predictions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -37,6 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # Compressed input per shuffle partition. Rows grow several times when decoded and sorted, so this keeps a
 # partition within an executor core's share of memory.
 BYTES_PER_PARTITION = 128 * 1024 * 1024

@@ -87,12 +87,12 @@ def test_metrics_of_a_class_never_predicted(spark):
     assert table == {"Actual_Normal": (2, 0), "Actual_Fraud": (1, 0)}
 
 
-def test_auc_equals_pair_counting(spark):
+def test_auc_equals_pair_counting(spark, tmp_path):
     rows = [(i % 3 == 0, float((i * 7) % 13)) for i in range(60)]
     frame = spark.createDataFrame([(int(a), b) for a, b in rows], "label int, s double")
     pairs = [(p, n) for a, p in rows if a for b, n in rows if not b]
     want = sum((p > n) + 0.5 * (p == n) for p, n in pairs) / len(pairs)
-    assert math.isclose(evaluation.binary_auc(frame, "s"), want)
+    assert math.isclose(evaluation.exact_auc(frame, "s", str(tmp_path / "ranks")).first()["auc_roc"], want)
 
 
 def test_prediction_sample(scored):
@@ -104,11 +104,134 @@ def test_prediction_sample(scored):
     assert [r["claim_id"] for r in rows] == by_hash[:20]
 
 
+def pair_auc(rows):
+    fraud, normal = ([s for label, s in rows if label == k] for k in (1, 0))
+    won = sum((a > b) + (a == b) / 2 for a in fraud for b in normal)
+    return won / (len(fraud) * len(normal))
+
+
+def test_exact_areas_of_groups(spark, tmp_path):
+    """Ties over parts, groups of very different sizes, a group with one class, a null group."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rng = np.random.default_rng(2)
+    rows = [(("a" if k % 3 else "b") if k % 50 else None, int(rng.random() < 0.3), float(rng.integers(0, 40)))
+            for k in range(900)] + [("one", 1, 0.5), ("one", 1, 0.7)]
+    frame = spark.createDataFrame(rows, "g string, label int, s double").repartition(7)
+    got = {r["g"]: r for r in evaluation.exact_auc(frame, "s", str(tmp_path / "ranks"), "g").collect()}
+    assert got["one"]["auc_roc"] is None and got["one"]["auc_pr"] == 1.0
+    for g in ("a", "b", None):
+        assert math.isclose(got[g]["auc_roc"], pair_auc([r[1:] for r in rows if r[0] == g]), rel_tol=1e-12)
+        own = frame.where(F.col("g").eqNullSafe(F.lit(g)))
+        theirs = BinaryClassificationEvaluator(
+            labelCol="label", rawPredictionCol="s", metricName="areaUnderPR", numBins=0).evaluate(own)
+        assert math.isclose(got[g]["auc_pr"], theirs, rel_tol=1e-12)
+    nothing = evaluation.exact_auc(frame.where("false"), "s", str(tmp_path / "none")).first()
+    assert tuple(nothing) == (None, None)
+
+
+def test_ranks_do_not_gather_a_hot_score(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") % 2).cast("int").alias("label"),
+                                    F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") / 1000).alias("s"))
+    ranks = evaluation.score_ranks(rows, "s", str(tmp_path / "ranks")).collect()
+    hot = [r for r in ranks if r["score"] == 0.5]
+    assert len(ranks) == len({r["score"] for r in ranks}) and len(hot) == 1 and hot[0]["p"] + hot[0]["n"] >= 334
+    assert all(r["p_above"] == sum(q["p"] for q in ranks if q["score"] > r["score"]) for r in ranks)
+
+
+def test_margin_as_expression(spark, scored, gbt_path):
+    margin = trees.margin_expression(trees.tree_nodes(spark, gbt_path), FEATURES)
+    gap = F.abs(margin - vector_to_array("rawPrediction")[1])
+    row = scored.select(gap.alias("gap")).agg(F.max("gap"), F.count("gap")).first()
+    assert row[0] < 1e-12 and row[1] == scored.count()
+    plan = scored.select(*FEATURES).select(margin.alias("m"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_gradient_is_zero_at_the_optimum_only(split_sets):
+    model = training.train_lr(split_sets[0], tol=1e-10, maxIter=500)
+    rows = training.lr_gradient(split_sets[0], model).collect()
+    assert [r["term"] for r in rows] == ["intercept", *FEATURES]
+    assert max(abs(r["gradient"]) for r in rows) < 1e-6
+    early = training.train_lr(split_sets[0], maxIter=1)
+    assert max(abs(r["gradient"]) for r in training.lr_gradient(split_sets[0], early).collect()) > 1e-3
+
+
+def deep_tree(depth, n_features, rng):
+    """A chain-like tree in which features come back on a path, as rows of a node relation."""
+    nodes, todo = [], [(0, 0, 2**40)]
+    number = 1
+    while todo:
+        node_id, level, n = todo.pop()
+        row = dict(tree_id=0, node_id=node_id, prediction=float(rng.normal()), n_rows=n, left_child=None, right_child=None,
+                   feature_index=None, threshold=None, left_categories=None, tree_weight=0.5)
+        if level < depth:
+            left = int(n * rng.uniform(0.3, 0.7))
+            row.update(left_child=number, right_child=number + 1, feature_index=int(rng.integers(n_features)),
+                       threshold=float(rng.normal()))
+            # one side goes on to the full depth, the other stops soon
+            todo += [(number, level + 1, left), (number + 1, max(level + 1, depth - 1), n - left)]
+            number += 2
+        nodes.append(row)
+    return nodes
+
+
+class Relation:
+    """Rows that are collected like a DataFrame's."""
+
+    def __init__(self, rows):
+        self.rows = rows
+
+    def collect(self):
+        return self.rows
+
+
+@pytest.mark.parametrize("depth, n_features, rows", [(16, 8, 3), (16, 16, 2), (3, 4, 40), (1, 2, 5)])
+def test_deep_paths_equal_brute_force(depth, n_features, rows):
+    rng = np.random.default_rng(depth * n_features)
+    nodes = deep_tree(depth, n_features, rng)
+    if depth == 16:
+        ensemble, _ = trees.load_ensemble(Relation(nodes))
+        assert max(len(leaf.features) for leaf in ensemble[0].leaves) > 6
+    ensemble, base = trees.load_ensemble(Relation(nodes))
+    x = rng.normal(size=(rows, n_features))
+    got = trees.attribute(ensemble, x)
+    by_id = {n["node_id"]: n for n in nodes}
+
+    def margin(row, node_id=0):
+        n = by_id[node_id]
+        if n["left_child"] is None:
+            return n["prediction"] * n["tree_weight"]
+        return margin(row, n["left_child"] if row[n["feature_index"]] <= n["threshold"] else n["right_child"])
+
+    assert np.allclose(base + got.sum(1), [margin(row) for row in x], atol=1e-10)
+    if n_features <= 8:
+        assert np.allclose(got, brute_force_shapley(x, nodes), atol=1e-10)
+
+
+def test_dependence_bins_of_missing_and_constant_values(spark):
+    rows = [(float(k % 10), 1.0, k / 10) for k in range(50)] + [(None, 1.0, 5.0)]
+    frame = spark.createDataFrame(rows, "u double, v double, shap_u double").withColumn("shap_v", -F.col("shap_u"))
+    got = {(r["feature"], r["bin"]): r for r in attribution.dependence_bins(frame, ["u", "v"], bins=5).collect()}
+    assert set(got) == {*(("u", k) for k in range(1, 6)), ("u", None), ("v", 1)}
+    assert [got["u", k]["n"] for k in range(1, 6)] == [10] * 5 and got["u", None]["n"] == 1
+    assert got["u", None]["avg_value"] is None and got["u", None]["max_attribution"] == 5.0
+    assert got["u", 5]["avg_value"] == 8.5 and got["v", 1]["n"] == 51 and got["v", 1]["min_attribution"] == -5.0
+    assert attribution.dependence_bins(frame.where("false"), ["u", "v"]).collect() == []
+
+
 def test_cross_validation(split_sets):
     found = training.cross_validate_gbt(
         split_sets[0], grid={"maxIter": [2, 3], "maxDepth": [2]}, folds=2, parallelism=2)
     results = training.cv_results(found)
-    assert [r[:2] for r in results] == [(2, 2), (3, 2)] and sum(r[3] for r in results) >= 1
+    assert [r[:2] for r in results] == [(2, 2), (3, 2)] and sum(r[3] for r in results) == 1
+    # every row has one score for each combination, and the areas are those of counted pairs
+    scores = split_sets[0].sparkSession.read.parquet(found.scores).collect()
+    claims = sorted(r["claim_id"] for r in split_sets[0].select("claim_id").collect())
+    for k, auc in enumerate(found.auc):
+        own = [r for r in scores if r["combination"] == k]
+        assert sorted(r["claim_id"] for r in own) == claims
+        folds = [[(r["label"], r["score"]) for r in own if r["fold"] == fold] for fold in (0, 1)]
+        assert math.isclose(auc, sum(map(pair_auc, folds)) / 2, rel_tol=1e-12)
     assert found.best.transform(split_sets[1]).select("prediction").count() > 0
 
 

@@ -384,6 +384,13 @@ SELECT claim_id, is_fraud FROM (SELECT claim_id, is_fraud, unnest(range(n)) FROM
 ORACLES["cv_folds"] = on(CLAIMS, f"""
 SELECT claim_id, floor({_uniform(43)} * 3)::int AS fold FROM claims
 WHERE ('0x' || substr(md5(claim_id), 1, 8))::bigint % 10 < 8""")
+ORACLES["out_of_fold_scores"] = on(CLAIMS, f""",
+rows AS (
+  SELECT claim_id, is_fraud, floor({_uniform(43)} * 3)::int AS fold FROM claims
+  WHERE ('0x' || substr(md5(claim_id), 1, 8))::bigint % 10 < 8)
+SELECT combination::int AS combination, fold, count(*) AS n_rows, count(DISTINCT claim_id) AS n_claims,
+  sum(is_fraud::int)::bigint AS n_fraud
+FROM rows, range(4) AS c(combination) GROUP BY ALL""")
 ORACLES["oversample_replicated"] = on(CLAIMS, """,
 ratio AS (
   SELECT greatest(floor(least(count(*) FILTER (WHERE NOT is_fraud)::double / count(*) FILTER (WHERE is_fraud), 5)), 1)
@@ -506,6 +513,9 @@ ORDER BY {r('features.claim_amount', 2)} DESC, claim_id LIMIT 20""",
 for _name, _sql in REPORT_SQL.items():
     ORACLES[_name] = on(FEATURE_ROWS, _sql)
 ORACLES["report_csv_roundtrip"] = ORACLES["region_fraud_patterns"]
+ORACLES["procedure_report_written"] = on(FEATURE_ROWS, f"""
+SELECT *, row_number() OVER (ORDER BY fraud_rate_pct DESC, procedure_code, procedure_description) AS place
+FROM ({REPORT_SQL['procedure_code_fraud_analysis']})""")
 ORACLES["run_all_reports"] = on(FEATURE_ROWS, " UNION ALL ".join(
     f"SELECT '{name}' AS report, count(*) AS row_count FROM ({REPORT_SQL[name]})"
     for name in list(REPORT_SQL)[:7]))

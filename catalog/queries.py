@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from catalog import inputs as src
 from claimwright.functions.features import ENGINEERED
@@ -400,6 +400,18 @@ def run_all_reports(spark, sf_dir):
     return reports.run_reports(src.features(spark, sf_dir), src.new_dir(spark, "reports"))
 
 
+@query
+def procedure_report_written(spark, sf_dir):
+    """The report of an unbounded key as it was written: its rows, each with its place by the manifest."""
+    path = src.new_dir(spark, "ordered_report")
+    rows = tables.save_ordered_report(reports.procedure_code_fraud_analysis(src.features(spark, sf_dir)), path)
+    files = tables.read_manifest(spark, path)
+    placed = rows.select("*", F.col("_metadata.file_name").alias("file")).join(F.broadcast(files), "file")
+    within = Window.partitionBy("file").orderBy(F.desc("fraud_rate_pct"), "procedure_code", "procedure_description")
+    return placed.withColumn("place", F.row_number().over(within) + F.col("first_row") - 1).drop(
+        "file", "n_rows", "first_row")
+
+
 @query
 def claims_over_time(spark, sf_dir):
     rows = reports.claims_over_time(src.events(spark, sf_dir), src.EVENTS_AS_OF)
@@ -437,8 +449,10 @@ def several_batches(spark, sf_dir):
 
 @query
 def stream_ingest_claims(spark, sf_dir):
-    stream = several_batches(spark, sf_dir)
-    rows = landed(spark, ingest.clean_stream(stream, as_of=src.AS_OF), "stream_ingest")
+    path = src.new_dir(spark, "stream_ingest")
+    landing = ledger.Landing(f"{path}/data", f"{path}/state", as_of=src.AS_OF, run=2)
+    ledger.land_with_ledger(several_batches(spark, sf_dir), landing, f"{path}/checkpoint", trigger=None).awaitTermination()
+    rows = ledger.landed(spark, landing)
     # whichever message of a claim came first: the whole row is one of the claim's rows
     columns = [f.name for f in RAW_SCHEMA]
     whole = F.md5(F.to_json(F.struct(*columns))).alias("whole")

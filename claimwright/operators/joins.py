@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Statistics of up to this many keys are broadcast (a few MB); the size is checked before the hint is given.
 BROADCAST_ROWS = 50_000
 # At most so many keys can be hot: a key is, with at least this part of the rows or of a shuffle partition's share.
-HOT_KEYS = 10_000
+HOT_KEYS = 100_000
 
 
 def small_side(frame: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimwright.operators.joins import with_key_stats
 from claimwright.operators.sampling import SEED, uniform
+from claimwright.session import scratch_dir
+from claimwright.sources.tables import save_parquet
 
 # Workload parameters.
 FILTER_AMOUNT = 10000
@@ -32,9 +34,9 @@ def group_by(features: DataFrame) -> DataFrame:
 
 def join_provider_average(features: DataFrame) -> DataFrame:
     """Claims with the average amount of their provider, `p_avg`."""
-    averages = features.groupBy("provider_id").agg(
+    averages = save_parquet(features.groupBy("provider_id").agg(
         F.avg("claim_amount").alias("p_avg"), F.count("*").alias("_claims")
-    )
+    ), scratch_dir(features.sparkSession, "averages"))  # counted and joined, aggregated once
     return with_key_stats(
         features.select("claim_id", "provider_id", "claim_amount"), averages, "provider_id", "_claims",
         F.col("claim_id"),

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright.functions.cleaning import share_pct
-from claimwright.sources.tables import save_report
+from claimwright.sources.tables import save_ordered_report, save_report
 
 # Cut-offs and sizes of the reports.
 SUSPICIOUS_AMOUNT, SUSPICIOUS_ROWS = 25000, 50
@@ -147,6 +147,10 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Reports whose key is free text: as many rows as the data has texts.
+UNBOUNDED = {"procedure_code_fraud_analysis"}
+
+
 class ReportError(RuntimeError):
     """Some reports failed; `failures` maps their names to the errors, the others are written."""
 
@@ -163,7 +167,8 @@ def run_reports(features: DataFrame, path: str,
     counts, failures = [], {}
     for name, report in (reports or REPORTS).items():
         try:
-            written = save_report(report(features), f"{path}/{name}")
+            save = save_ordered_report if name in UNBOUNDED else save_report
+            written = save(report(features), f"{path}/{name}")
             counts.append(written.agg(F.lit(name).alias("report"), _n().alias("row_count")))
         except Exception as exc:  # reported below
             failures[name] = exc

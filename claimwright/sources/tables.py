@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from claimwright.schema import RAW_SCHEMA
 
@@ -58,6 +58,24 @@ def save_report(report: DataFrame, path: str) -> DataFrame:
     return report.sparkSession.read.schema(report.schema).option("header", True).csv(path)
 
 
+def save_ordered_report(report: DataFrame, path: str) -> DataFrame:
+    """An ordered report of any length as CSV: the files, in the order of their names, are the ranking.
+
+    The sort deals rows by range, and adaptive execution merges ranges, so a short report is one file and a long one is
+    written by many tasks. `<path>_manifest` tells each file's rows and the number of its first one."""
+    report.write.mode("overwrite").option("header", True).csv(path)
+    rows = report.sparkSession.read.schema(report.schema).option("header", True).csv(path)
+    files = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n_rows"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files.withColumn("first_row", F.coalesce(F.sum("n_rows").over(before), F.lit(0)) + 1).coalesce(1).write.mode(
+        "overwrite").option("header", True).csv(f"{path}_manifest")
+    return rows
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("file string, n_rows long, first_row long").option("header", True).csv(f"{path}_manifest")
+
+
 def data_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """`(path, length)` of the data files below `path`; contents are not read."""
     return (

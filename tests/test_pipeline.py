@@ -243,3 +243,23 @@ def test_a_hot_provider_is_spread(spark, make_claims, tmp_path):
 def test_dedup_limits_groups_before_the_shuffle(make_claims):
     text = plan(dedup_claims(make_claims({}, {})))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
+def test_long_report_is_written_in_order_by_many_tasks(spark, tmp_path):
+    from claimwright.sources.tables import read_manifest, save_ordered_report
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"), (F.col("id") % 97).alias("n"))
+        report = rows.orderBy(F.desc("n"), "k")
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" in plan and "SinglePartition" not in plan
+        written = save_ordered_report(report, str(tmp_path / "report"))
+        files = read_manifest(spark, str(tmp_path / "report")).orderBy("file").collect()
+        assert len(files) == 4 and sum(f["n_rows"] for f in files) == 5000
+        assert [f["first_row"] for f in files] == [1 + sum(g["n_rows"] for g in files[:k]) for k in range(4)]
+        whole = [tuple(r) for r in report.collect()]
+        for f in files:
+            own = {tuple(r) for r in written.where(F.col("_metadata.file_name") == f["file"]).collect()}
+            assert own == set(whole[f["first_row"] - 1:f["first_row"] - 1 + f["n_rows"]])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -11,7 +11,7 @@ from claimwright.operators.validation import normalise, validate
 from claimwright.plans.reports import claims_over_time
 from claimwright.schema import CLAIM_SCHEMA, MESSAGE_SCHEMA
 from claimwright.session import DEFAULTS
-from claimwright.sources.streams import captured_messages, kafka_messages
+from claimwright.sources.streams import captured_messages, kafka_messages, kafka_options
 from claimwright.sources.tables import read_raw_claims
 from claimwright.streaming.hourly import hourly_counts
 from claimwright.streaming.ingest import clean_stream, dedup_stream_within, land_stream
@@ -123,6 +123,12 @@ def test_hourly_counts_equal_the_panel(spark, tmp_path):
 
 
 def test_message_schema_and_kafka_options(spark):
+    assert kafka_options("broker:9092") == {
+        "kafka.bootstrap.servers": "broker:9092", "subscribe": "health_insurance_claims", "startingOffsets": "latest",
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "5000"}
+    tuned = kafka_options("b", "t", starting="earliest", offsets_per_trigger=None, min_partitions=4, fail_on_data_loss=False)
+    assert tuned == {"kafka.bootstrap.servers": "b", "subscribe": "t", "startingOffsets": "earliest",
+                     "failOnDataLoss": "false", "minPartitions": "4"}
     with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not installed with the tests
         kafka_messages(spark, "broker:9092", offsets_per_trigger=10, min_partitions=4)
     assert [f.name for f in MESSAGE_SCHEMA] == ["key", "value", "topic", "partition", "offset", "timestamp"]

@@ -62,8 +62,19 @@ def with_copy(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs, docs.dropDuplicates(["id", "copy"]) if shared else docs
 
 
+def release() -> None:
+    """Gives memory that is free again back to the system: workers stay for other tasks, which need their own."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `size` bytes of text; one text is never cut."""
+    """Slices of a batch with about `size` bytes of text; one text is never cut. What the last batch left is released."""
+    release()
     lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     totals = np.cumsum(lengths)
     start = 0

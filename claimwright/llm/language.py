@@ -95,13 +95,15 @@ def text_scores(rows: DataFrame, names: list[str], table: np.ndarray) -> DataFra
             for part in chunks(batch):
                 data, offsets = buffer_of(part.column("text"))
                 data = symbols(data)
-                sums = np.zeros((len(data) + 1, weights.shape[1]))
-                np.cumsum(weights[trigrams(data)[0]], axis=0, out=sums[1:], dtype=np.float64)
+                codes, scores = trigrams(data)[0], np.zeros((len(offsets) - 1, weights.shape[1]))
+                sums = np.zeros(len(data) + 1)
+                for k in range(weights.shape[1]):  # one language at a time: memory does not grow with their number
+                    np.cumsum(weights[:, k][codes], out=sums[1:], dtype=np.float64)
+                    scores[:, k] = sums[offsets[1:]] - sums[offsets[:-1]]
                 letters = np.concatenate([[0], np.cumsum(data != 32)])
                 out = {c: part.column(c) for c in others}
                 out["letters"] = pa.array(np.diff(letters[offsets]))
                 out["bytes"] = pa.array(np.diff(offsets))
-                scores = sums[offsets[1:]] - sums[offsets[:-1]]
                 out["scores"] = pa.array(list(scores), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimwright.llm.common import mixed
+from claimwright.llm.common import mixed, release
 
 DEPTH = 2
 BLOCK_BITS = 18
@@ -134,7 +134,7 @@ def merged_flags(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
                     size = 0
         if size:
             yield rows()
-        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
+        release()
 
     empty = F.lit(None).cast("binary")
     parts = frame.mapInArrow(sketch, "block int, hits binary").select("block", "hits", empty.alias("once"),

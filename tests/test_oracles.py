@@ -8,7 +8,10 @@ from catalog.queries import QUERIES
 from tests.conftest import SF
 
 # need a trained model; test_models covers them with a smaller one
-MODEL_BASED = {"model_roundtrip", "tree_shap_additivity"}
+MODEL_BASED = {
+    "model_roundtrip", "tree_shap_additivity", "explained_gbt_additivity", "predict_as_expression", "lr_gradient",
+    "out_of_fold_scores", "tree_walk", "dependence_rows",
+}
 
 
 @pytest.fixture(scope="module")

@@ -1,18 +1,22 @@
 """Personal data in texts: patterns, and a character tagger that finds what they miss.
 
 The tagger is a bidirectional LSTM with a CRF over its scores, fitted in numpy on windows of a bounded sample of
-documents whose spans the patterns label. Every kind needs a digit or an `@`, so windows are laid, with an overlap of
-half, wherever one stands. Scores of overlapping windows are weighed by the distance from a window's edge and added, and
-each stretch of windows is then decoded as one sequence, so a span that crosses windows is found whole and once. Spans
-of the tagger that touch a span of the patterns give way to it.
-
-Defined cases: null and empty texts have no spans; without any labelled span there is no tagger and the patterns' spans
-stand alone; ids may be null or repeated, each row comes back once; extra columns are ignored. Places are code points.
+documents. Labelled spans are the patterns' own and, put between words of the sampled texts, personal data in ways of
+writing that the patterns miss (`FORMS`), next to numbers that are no personal data and labelled as such. Every kind
+needs a digit, an `@` or a written-out "at", so windows are laid, with an overlap of half, wherever one stands. Scores of
+overlapping windows are weighed by the distance from a window's edge and added, and each stretch of windows is then
+decoded as one sequence, so a span that crosses windows is found whole and once. Stretches beyond LONG windows are
+decoded in parts that overlap by MARGIN windows; a part gives the spans that begin in it. A span of the tagger must have
+what its kind is made of (`plausible`), and gives way to spans of the patterns that it touches.
+
+Defined cases: null and empty texts have no spans; without any text there is no tagger and the patterns' spans stand
+alone; ids may be null or repeated, each row comes back once; extra columns are ignored. Places are code points.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -25,12 +29,19 @@ from claimwright.llm.common import chunks
 KINDS = ["email", "ip", "card", "phone"]
 #: Documents with spans that the tagger is fitted on, at most, and windows from them.
 SAMPLE_DOCS = 600
-SAMPLE_WINDOWS = 1200
+SAMPLE_WINDOWS = 3000
+#: Spans and other numbers that are put into a sampled text.
+INSERTS = 6
 WINDOW, STEP = 64, 32
 HIDDEN, EMBEDDING = 16, 12
-STEPS, RATE, BATCH = 350, 0.02, 32
+STEPS, RATE, BATCH = 450, 0.03, 32
 #: Least probability of a tagger's span, each of its characters.
-SURE = 0.9
+SURE = 0.5
+#: Windows of a stretch that are decoded at once, and their overlap; characters decoded side by side, with padding.
+LONG, MARGIN = 128, 8
+DECODED_AT_ONCE = 100_000
+#: Characters of a span of the tagger, at most.
+SPAN_CHARS = 100
 
 # The patterns of the four kinds.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -38,7 +49,9 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+NUMBER = re.compile(r"[0-9]+")
+TRIGGER = re.compile(r"[0-9@]|[\[({<] ?[Aa][Tt] ?[\])}>]|\b(?:at|AT)\b(?=.{1,40}?\b(?:dot|DOT)\b)", re.DOTALL)
+SHAPE = re.compile(r"(?i)[\w.%+-]+\W{0,3}(@|\bat\b)\W{0,3}[\w-]+(\W{0,3}(\.|\bdot\b)\W{0,3}[\w-]+)+")
 
 
 def luhn(digits: str) -> bool:
@@ -62,8 +75,6 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) by start, then kind."""
-    if not TRIGGER.search(text):
-        return []
     out = [(a, b, 0) for a, b in emails(text)]
     out += [(m.start(), m.end(), 1) for m in IP.finditer(text)
             if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
@@ -122,8 +133,8 @@ def initial_weights(seed: int = 7) -> dict[str, np.ndarray]:
     return out
 
 
-def lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states (time, batch, hidden) of inputs (time, batch, embedding), and what the way back needs."""
+def lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+    """Hidden states (time, batch, hidden) of inputs (time, batch, embedding), and what the way back needs (`keep`)."""
     steps, batch, _ = x.shape
     h, c = np.zeros((batch, HIDDEN)), np.zeros((batch, HIDDEN))
     out, kept = np.empty((steps, batch, HIDDEN)), []
@@ -136,7 +147,8 @@ def lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]
         tc = np.tanh(c)
         h = o * tc
         out[t] = h
-        kept.append((joined, i, f, o, g, before, tc))
+        if keep:
+            kept.append((joined, i, f, o, g, before, tc))
     return out, kept
 
 
@@ -158,11 +170,11 @@ def lstm_back(grad: np.ndarray, kept: list, w: np.ndarray) -> tuple[np.ndarray,
     return dx, dw, db
 
 
-def emissions(w: dict[str, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, tuple]:
+def emissions(w: dict[str, np.ndarray], codes: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
     """Scores (time, batch, tags) of windows (batch, time)."""
     x = w["embed"][codes.T]
-    hf, kf = lstm(x, w["wf"], w["bf"])
-    hb, kb = lstm(x[::-1], w["wb"], w["bb"])
+    hf, kf = lstm(x, w["wf"], w["bf"], keep)
+    hb, kb = lstm(x[::-1], w["wb"], w["bb"], keep)
     hidden = np.concatenate([hf, hb[::-1]], 2)
     return hidden @ w["out_w"] + w["out_b"], (hidden, kf, kb)
 
@@ -245,54 +257,125 @@ def tags_of(n: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
     return tags
 
 
-def decode(scores: np.ndarray, w: dict[str, np.ndarray]) -> list[tuple[int, int, int]]:
-    """Spans of the best tag sequence of one stretch (time, tags) whose characters are all sure."""
-    _, marginal, _ = forward_backward(scores[:, None, :], w["begin"], w["move"])
-    best, back = w["begin"] + scores[0], []
-    for s in scores[1:]:
-        step = best[:, None] + w["move"]
-        back.append(step.argmax(0))
-        best = step.max(0) + s
-    tags = [int(best.argmax())]
-    for b in reversed(back):
-        tags.append(int(b[tags[-1]]))
-    tags.reverse()
-    out: list[list[int]] = []
-    for t, tag in enumerate(tags):
-        if tag == 0:
-            continue
-        kind, first = divmod(tag - 1, 2)
-        if not first or not out or out[-1][1] != t or out[-1][2] != kind:
-            out.append([t, t + 1, kind])
-        else:
-            out[-1][1] = t + 1
-    return [(a, b, k) for a, b, k in out if all(marginal[t, 0, tags[t]] >= SURE for t in range(a, b))]
+def decode(scores: list[np.ndarray], w: dict[str, np.ndarray]) -> list[list[tuple[int, int, int]]]:
+    """Of each sequence (time, tags), longest first, the spans of its best tags whose characters are all sure."""
+    lengths = np.array([len(s) for s in scores])
+    steps, n = int(lengths[0]), len(scores)
+    padded = np.zeros((steps, n, TAGS))
+    for k, s in enumerate(scores):
+        padded[:len(s), k] = s
+    running = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")  # sequences that reach a step
+    alpha, beta, back = np.empty_like(padded), np.zeros_like(padded), np.zeros(padded.shape, np.uint8)
+    alpha[0] = w["begin"] + padded[0]
+    best, final, total = alpha[0].copy(), np.empty(n, np.int64), np.empty(n)
+    for t in range(steps):
+        m, after = running[t], running[t + 1] if t + 1 < steps else 0
+        if t:
+            alpha[t, :m] = log_sum(alpha[t - 1, :m, :, None] + w["move"], 1) + padded[t, :m]
+            ways = best[:m, :, None] + w["move"]
+            back[t, :m] = ways.argmax(1)
+            best[:m] = ways.max(1) + padded[t, :m]
+        final[after:m] = best[after:m].argmax(1)
+        total[after:m] = log_sum(alpha[t, after:m], 1)
+    tags = np.zeros((steps, n), np.int64)
+    for t in range(steps - 1, -1, -1):
+        m, after = running[t], running[t + 1] if t + 1 < steps else 0
+        tags[t, after:m] = final[after:m]
+        if after:
+            ahead = tags[t + 1, :after]
+            tags[t, :after] = back[t + 1, np.arange(after), ahead]
+            beta[t, :after] = log_sum(w["move"] + (padded[t + 1, :after] + beta[t + 1, :after])[:, None, :], 2)
+    marginal = np.take_along_axis(alpha + beta, tags[:, :, None], 2)[:, :, 0] - total
+    sure = marginal >= np.log(SURE)
+    out: list[list[tuple[int, int, int]]] = []
+    for k, length in enumerate(lengths):
+        spans: list[list[int]] = []
+        for t in np.flatnonzero(tags[:length, k]).tolist():
+            kind, first = divmod(int(tags[t, k]) - 1, 2)
+            if first and spans and spans[-1][1] == t and spans[-1][2] == kind:
+                spans[-1][1] = t + 1
+            else:
+                spans.append([t, t + 1, kind])
+        out.append([(a, b, kind) for a, b, kind in spans if sure[a:b, k].all()])
+    return out
+
+
+def plausible(text: str, start: int, end: int, kind: int) -> bool:
+    """Whether a span has what its kind is made of, whatever stands between."""
+    own = text[start:end]
+    if len(own) > SPAN_CHARS:
+        return False
+    if kind == 0:
+        return bool(SHAPE.fullmatch(own))
+    numbers = NUMBER.findall(own)
+    digits = "".join(numbers)
+    if not digits or NUMBER.match(text[max(start - 1, 0):start]) or NUMBER.match(text[end:end + 1]):
+        return False
+    if kind == 1:
+        return len(numbers) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in numbers)
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15
+
+
+def parts_of(texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Of the stretches of all texts, cut where they are long: text, first window, windows, and the characters between
+    which spans begin that the part gives."""
+    for i, text in enumerate(texts):
+        for first, n in stretches(text):
+            for at in range(0, n, LONG):
+                low, high = max(0, at - MARGIN), min(n, at + LONG + MARGIN)
+                begin = (first + at) * STEP if at else 0
+                end = (first + at + LONG) * STEP if at + LONG < n else len(text)
+                yield i, first + low, high - low, begin, end
 
 
 def tagger_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[list[tuple[int, int, int]]]:
     """Spans that the tagger finds in each text."""
-    runs = [stretches(t) for t in texts]
-    windows = [window_codes(t, r) for t, r in zip(texts, runs)]
-    flat = np.concatenate([x for x in windows if len(x)] or [np.zeros((0, WINDOW), np.int64)])
+    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    held: list[tuple] = []
+    for part in parts_of(texts):
+        held.append(part)
+        if sum(p[2] for p in held) * STEP >= DECODED_AT_ONCE:
+            spans_of(texts, held, w, out)
+            held = []
+    if held:
+        spans_of(texts, held, w, out)
+    for found in out:  # spans that begin inside another, at the border of two parts
+        found.sort()
+        found[:] = [s for k, s in enumerate(found) if not k or s[0] >= found[k - 1][1]]
+    return out
+
+
+def spans_of(texts: list[str], parts: list[tuple], w: dict[str, np.ndarray], out: list[list[tuple]]) -> None:
+    """Adds to `out` the spans of parts that are decoded side by side."""
+    parts = sorted(parts, key=lambda p: -p[2])
+    flat = np.concatenate([window_codes(texts[i][first * STEP:(first + n) * STEP + WINDOW], [(0, n)])
+                           for i, first, n, *_ in parts])
+    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1))[:, None].astype(float)
     scores = np.empty((len(flat), WINDOW, TAGS))
     for k in range(0, len(flat), 512):
-        scores[k:k + 512] = emissions(w, flat[k:k + 512])[0].transpose(1, 0, 2)
-    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1))[:, None].astype(float)
-    out, at = [], 0
-    for text, own in zip(texts, runs):
-        found = []
-        for first, n in own:
-            length = (n - 1) * STEP + WINDOW
-            total, parts = np.zeros((length, TAGS)), np.zeros((length, 1))
-            for k in range(n):
-                total[k * STEP:k * STEP + WINDOW] += weight * scores[at + k]
-                parts[k * STEP:k * STEP + WINDOW] += weight
-            at += n
-            begin = first * STEP
-            total = (total / parts)[:len(text) - begin]
-            found += [(begin + a, begin + b, kind) for a, b, kind in decode(total, w)]
-        out.append(found)
-    return out
+        scores[k:k + 512] = emissions(w, flat[k:k + 512], keep=False)[0].transpose(1, 0, 2)
+    scores *= weight
+    sequences, at = [], 0
+    for i, first, n, *_ in parts:
+        total, shares = np.zeros(((n + 1) * STEP, TAGS)), np.zeros(((n + 1) * STEP, 1))
+        for half in range(WINDOW // STEP):  # windows overlap by half
+            rows = slice(half * STEP, half * STEP + n * STEP)
+            total[rows] += scores[at:at + n, half * STEP:(half + 1) * STEP].reshape(n * STEP, TAGS)
+            shares[rows] += np.tile(weight[half * STEP:(half + 1) * STEP], (n, 1))
+        sequences.append((total / shares)[:len(texts[i]) - first * STEP])
+        at += n
+    order = sorted(range(len(parts)), key=lambda k: -len(sequences[k]))
+    while order:
+        side = max(1, DECODED_AT_ONCE // len(sequences[order[0]]))
+        now, order = order[:side], order[side:]
+        for k, found in zip(now, decode([sequences[k] for k in now], w)):
+            i, first, _, begin, end = parts[k]
+            for a, b, kind in found:
+                a, b = a + first * STEP, b + first * STEP
+                if begin <= a < end and plausible(texts[i], a, b, kind):
+                    out[i].append((a, b, kind))
 
 
 def joined_spans(base: list[tuple[int, int, int]], more: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -315,22 +398,81 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+# Ways of writing that the patterns miss, and numbers that are no personal data. `#` is a digit.
+FORMS = {
+    "at": [" (at) ", "(at)", " [at] ", "[at]", " @ ", " AT ", "{at}", " at "],
+    "dot": [" dot ", " (dot) ", "[dot]", " DOT ", " . "],
+    "ip": ["[.]", " . ", "(.)", " dot ", "-", " [.] ", ", "],
+    "card": [".", "/", "_", "  ", "\n", " - ", "\t", ":"],
+    "phone": ["(###) ###-####", "###-###-####", "###.###.####", "### ### ####", "001 ### ### ####", "1-###-###-####",
+              "+ 1 ### ### ####", "+1/###/###/####", "+1 ###\n###-####", "0### / #######", "00## (0)## #######",
+              "+## ### ###\n###"],
+}
+PLAIN = ["20##-0#-1#", "1#.0#.19##", "0#/1#/20##", "1#:4#:3#", "20##-0#-1#T1#:5#:0#", "v#.#.##", "Version #.0", "#.#####",
+         "$#,###.##", "## ### ###", "19##-20##", "pp. ###-###", "ISBN 978-#-##-######-#", "#" * 24, "####", "1#,###,###",
+         "##%", "No. #####", "##x##", "RFC ####", "a##f#e##c##d#b##", "##-##", "(##)", "#.# . #.#", "##.##.##", "#,##,##",
+         "at ##.##", "order ########", "#" * 17]
+
+
+def digits_in(form: str, draw: random.Random) -> str:
+    return "".join(draw.choice("0123456789") if c == "#" else c for c in form)
+
+
+def invented(kind: int, draw: random.Random, words: list[str]) -> str:
+    """Personal data of a kind in a way of writing that the patterns miss."""
+    if kind == 0:
+        name = draw.choice(words) + draw.choice(["", ".", "_", "-"]) + draw.choice([draw.choice(words), digits_in("##", draw)])
+        at, dot = draw.choice(FORMS["at"]), draw.choice(FORMS["dot"])
+        if at.strip("[({") != at and draw.random() < 0.4:
+            dot = "."
+        ending = draw.choice(["com", "org", "net", "de", "fr", "example.com", "co.uk", "es"])
+        return name + at + draw.choice(words) + draw.choice(["", digits_in("#", draw)]) + dot + ending.replace(".", dot)
+    if kind == 1:
+        return draw.choice(FORMS["ip"]).join(str(draw.randrange(256)) for _ in range(4))
+    if kind == 2:
+        cuts = draw.choice([(4, 4, 4, 4), (4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 1)])
+        body = digits_in("#" * (sum(cuts) - 1), draw)
+        digits = next(body + c for c in "0123456789" if luhn(body + c))
+        ends = [sum(cuts[:k + 1]) for k in range(len(cuts))]
+        return draw.choice(FORMS["card"]).join(digits[e - c:e] for e, c in zip(ends, cuts))
+    return digits_in(draw.choice(FORMS["phone"]), draw)
+
+
+def example(text: str, draw: random.Random) -> tuple[str, list[tuple[int, int, int]]]:
+    """A text with personal data and plain numbers put between its words, and all its spans."""
+    words = re.findall(r"(?a)[A-Za-z]{2,12}", text) or ["mail", "info"]
+    gaps = [m.end() for m in re.finditer(r"\s+", text)]
+    out, spans, size, last = [], [], 0, 0
+    for gap in sorted(draw.sample(gaps, min(INSERTS, len(gaps)))):
+        kind = draw.randrange(2 * len(KINDS) - 1)
+        own = invented(kind, draw, words) if kind < len(KINDS) else digits_in(draw.choice(PLAIN), draw)
+        out += [text[last:gap], own, draw.choice([" ", " ", ". ", ", ", "\n"])]
+        size += gap - last
+        if kind < len(KINDS):
+            spans.append((size, size + len(own), kind))
+        size, last = size + len(own) + len(out[-1]), gap
+    text = "".join([*out, text[last:]])
+    return text, joined_spans(spans, pattern_spans(text))
+
+
 def train(docs: DataFrame) -> dict[str, np.ndarray] | None:
-    """The tagger, from documents with spans drawn by a hash of their text."""
-    some = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
+    """The tagger, from documents drawn by a hash of their text."""
+    some = docs.where(F.length("text") > 0).select(F.xxhash64("text").alias("h"), "text")
     total = some.count()
     if not total:
         return None
-    drawn = some.where(F.pmod("h", F.lit(1_000_000)) < int(2e6 * SAMPLE_DOCS / total) + 1)
+    drawn = some.where(F.pmod("h", F.lit(1_000_000_000)) < int(2e9 * SAMPLE_DOCS / total) + 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows with their tags; nothing else of a text comes to the driver."""
         for batch in batches:
             rows = []
             for h, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
-                codes = window_codes(text, stretches(text)).astype(np.uint8)
-                tags = np.concatenate([tags_of(len(text), pattern_spans(text)), np.zeros(WINDOW, np.int64)])
-                first = [k * STEP for a, n in stretches(text) for k in range(a, a + n)]
+                text, spans = example(text, random.Random(h))
+                runs = stretches(text)
+                codes = window_codes(text, runs).astype(np.uint8)
+                tags = np.concatenate([tags_of(len(text), spans), np.zeros(WINDOW, np.int64)])
+                first = [k * STEP for a, n in runs for k in range(a, a + n)]
                 rows += [(h, i, c.tobytes(), tags[a:a + WINDOW].astype(np.uint8).tobytes())
                          for i, (a, c) in enumerate(zip(first, codes))]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(

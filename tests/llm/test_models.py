@@ -137,8 +137,23 @@ def entity_rows(n, seed):
     return out
 
 
-def test_tagger_finds_held_out_spans(spark):
-    weights = pii.train(h.documents(spark, entity_rows(150, 1)))
+@pytest.fixture(scope="module")
+def weights(spark):
+    return pii.train(h.documents(spark, entity_rows(150, 1)))
+
+
+def found_and_wanted(texts_and_spans, weights):
+    """Right spans, wanted ones and found ones beyond those of the patterns."""
+    found = pii.tagger_spans([t for t, _ in texts_and_spans], weights)
+    right = wanted = given = 0
+    for (text, spans), more in zip(texts_and_spans, found):
+        base = set(pii.pattern_spans(text))
+        mine, own = set(pii.joined_spans(sorted(base), more)) - base, set(spans) - base
+        right, wanted, given = right + len(mine & own), wanted + len(own), given + len(mine)
+    return right, wanted, given
+
+
+def test_tagger_finds_held_out_spans(weights):
     texts = [t for _, t in entity_rows(60, 2)]
     wanted = [set(pii.pattern_spans(t)) for t in texts]
     found = [set(s) for s in pii.tagger_spans(texts, weights)]
@@ -146,6 +161,49 @@ def test_tagger_finds_held_out_spans(spark):
     assert hits >= 0.8 * sum(map(len, wanted)) and hits >= 0.8 * sum(map(len, found))
 
 
+def test_tagger_finds_what_the_patterns_miss(weights, monkeypatch):
+    held_out = [pii.example(t, random.Random(k)) for k, t in entity_rows(60, 3)]
+    right, wanted, given = found_and_wanted(held_out, weights)
+    assert wanted > 100 and right >= 0.8 * wanted and right >= 0.95 * given
+    monkeypatch.setattr(pii, "FORMS", {
+        "at": [" <at> ", "( at )"], "dot": [" <dot> ", "{dot}"], "ip": [" / ", "{.}"], "card": ["|", " . "],
+        "phone": ["1 (###) ###-####", "(###)###.####", "00# ### ### ####"]})  # none of them was seen
+    unseen = [pii.example(t, random.Random(k)) for k, t in entity_rows(60, 4)]
+    right, wanted, given = found_and_wanted(unseen, weights)
+    assert wanted > 100 and right >= 0.4 * wanted and right >= 0.7 * given
+
+
+def test_plain_numbers_are_left_alone(weights):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(ENGLISH.split(), k=8) + [pii.digits_in(rng.choice(pii.PLAIN), rng)]
+                      + rng.choices(ENGLISH.split(), k=8)) for _ in range(200)]
+    assert sum(map(bool, pii.tagger_spans(texts, weights))) <= 4
+
+
+def test_long_stretches_are_decoded_in_parts(weights, monkeypatch):
+    texts = [" ".join(pii.example(t, random.Random(k))[0] for k, t in entity_rows(30, 6)), "", "5", "at 7 (at) x"]
+    whole = pii.tagger_spans(texts, weights)
+    monkeypatch.setattr(pii, "LONG", 3)
+    monkeypatch.setattr(pii, "DECODED_AT_ONCE", 500)
+    parts = pii.tagger_spans(texts, weights)
+    assert len(whole[0]) > 50 and len(set(whole[0]) ^ set(parts[0])) <= 2 and whole[1:] == parts[1:]
+
+
+def test_decoding_side_by_side_is_decoding_alone():
+    rng = np.random.default_rng(2)
+    w = {"begin": rng.normal(size=pii.TAGS), "move": rng.normal(size=(pii.TAGS, pii.TAGS))}
+    scores = [3 * rng.normal(size=(n, pii.TAGS)) for n in (9, 7, 7, 4, 1)]
+    assert pii.decode(scores, w) == [pii.decode([s], w)[0] for s in scores]
+    short = scores[3]
+    ways = {s: w["begin"][s[0]] + sum(short[t, x] for t, x in enumerate(s)) + sum(w["move"][a, b] for a, b in zip(s, s[1:]))
+            for s in itertools.product(range(pii.TAGS), repeat=4)}
+    best = max(ways, key=ways.get)
+    total = np.logaddexp.reduce(list(ways.values()))
+    sure = [np.logaddexp.reduce([v for s, v in ways.items() if s[t] == best[t]]) - total >= np.log(pii.SURE) for t in range(4)]
+    covered = {t for a, b, _ in pii.decode([short], w)[0] for t in range(a, b)}
+    assert covered <= {t for t in range(4) if best[t] and sure[t]}
+
+
 def test_crf_sums_over_all_sequences():
     rng = np.random.default_rng(0)
     scores, begin, move = rng.normal(size=(4, 1, 3)), rng.normal(size=3), rng.normal(size=(3, 3))

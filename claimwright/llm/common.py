@@ -35,9 +35,10 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Texts travel to workers a thousand at a time: ten thousand long ones are held several times over, in the
-    executor's direct memory and in the worker."""
+    """Texts travel to workers a thousand or four megabytes at a time: ten thousand long ones are held several times
+    over, in the executor's direct memory and in the worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,19 +39,65 @@ def test_files(spark):
     assert by[12][0] == "Apache-2.0" and by[13] == (None, "Apache-2.0", "head")
 
 
+WRAPPED = """# This program is free
+# software: you can redistribute it and/or
+# modify it under the terms of the GNU General
+# Public License as published by the Free
+# Software Foundation."""
+
+
+def test_notices_anywhere(spark):
+    """Inside a paragraph, wrapped behind comment signs, as a tag, whole texts with and without other words."""
+    prose = "the engine of the old ship was repaired by the crew during a long and stormy night at sea"
+    mit = licenses.WHOLE_TEXTS[0][1]
+    rows = [
+        (1, None, f"{prose} and it is licensed under the Apache License, Version 2.0. {prose} {prose}"),
+        (2, None, f"import os\n\n{WRAPPED}\n{prose}\n"), (3, None, "// SPDX-License-Identifier: MIT\nint x;"),
+        (4, None, f"Copyright (c) 1999 A. Person\n\n{mit}\n"), (5, None, " ".join(mit.split())),
+        (6, None, "\n".join(f"{k}: {w}" for k, w in enumerate(mit.split()))),
+        (7, None, licenses.BSD_2 + licenses.BSD_DISCLAIMER), (8, None, f"{prose} {prose}"),
+        (9, None, "// SPDX-License-Identifier: Zlib\nint x;"),
+        (10, None, licenses.BSD_2 + licenses.BSD_3 + licenses.BSD_DISCLAIMER),
+        (11, None, "é " * 50 + "released under the mit license"),
+        (12, None, "we were released under the old rule of this license to print"),
+    ]
+    got = {r.doc_id: r for r in scanned(spark, rows)}
+    assert {k: r.own for k, r in got.items()} == {
+        1: "Apache-2.0", 2: "GPL-3.0", 3: "MIT", 4: "MIT", 5: "MIT", 6: got[6].own, 7: "BSD-2-Clause", 8: None, 9: None,
+        10: "BSD-3-Clause", 11: "MIT", 12: None}
+    assert got[2].line == 2 and got[3].line == 0 and got[5].cosine == 1.0 and got[1].cosine == 1.0
+
+
 def test_cosine_equals_plain_computation(spark):
-    """Frequencies over all lines of all files, weights and cosine written out."""
+    """Frequencies over all lines of all files; every window of every template, weights and cosines written out."""
     import math
-    texts = [t for _, t in h.awkward_rows()] + ["Released under the MIT License.\nthe under the", "under the hill"]
+    texts = [t for _, t in h.awkward_rows() if len(t or "") < 1000] + [
+        "Released under the MIT License.\nthe under the", "under the hill", "work is licensed under the GNU GNU GPL general "
+        "public license, version 2 or 3 of this work", "mit\nlicense", f"a copy\n{licenses.WHOLE_TEXTS[1][1]}", WRAPPED]
     lines = [x for t in texts if t for x in (t[:-1] if t.endswith("\n") else t).split("\n")]
     vocabulary = {w for _, t in licenses.TEMPLATES for w in licenses.words_of(t)}
     unseen = math.log(len(lines) + 1) + 1
     idf = {w: unseen - math.log(sum(w in licenses.words_of(x) for x in lines) + 1) for w in vocabulary}
-    line, template = (licenses.tfidf(licenses.words_of(x), idf, unseen)
-                      for x in ("Released under the MIT License.", "Released under the MIT License."))
-    wanted = sum(v * line[w] for w, v in template.items())
-    got = [r.cosine for r in scanned(spark, [(k, None, t) for k, t in enumerate(texts)]) if r.own]
-    assert len(got) == 1 and abs(got[0] - wanted) < 1e-6
+
+    def best(text):
+        words, found = licenses.words_of(text or ""), []
+        for k, (name, template) in enumerate(licenses.TEMPLATES):
+            own = licenses.words_of(template)
+            least = licenses.SHORT_LIKE if len(own) < licenses.SHORT else licenses.LIKE
+            weights = licenses.tfidf(own, idf, unseen)
+            spans = [words[a:a + len(own)] for a in range(len(words))]
+            whole = k >= len(licenses.TEMPLATES) - len(licenses.WHOLE_TEXTS)
+            spans += [words] * (whole and bool(words))
+            for span in spans:
+                window = licenses.tfidf(span, idf, unseen)
+                score = round(sum(v * window.get(w, 0.0) for w, v in weights.items()), 9)
+                if score >= least:
+                    found.append((whole and score >= 0.9, score, -k, name))
+        return max(found)[1::2] if found else (None, None)
+
+    got = {r.doc_id: (r.cosine, r.own) for r in scanned(spark, [(k, None, t) for k, t in enumerate(texts)])}
+    assert got == {k: best(t) for k, t in enumerate(texts)}
+    assert sum(v[0] is not None for v in got.values()) >= 3
 
 
 def test_nothing(spark):

@@ -34,7 +34,7 @@ SAMPLE_WINDOWS = 3000
 INSERTS = 6
 WINDOW, STEP = 64, 32
 HIDDEN, EMBEDDING = 16, 12
-STEPS, RATE, BATCH = 450, 0.03, 32
+STEPS, RATE, BATCH = 600, 0.03, 32
 #: Least probability of a tagger's span, each of its characters.
 SURE = 0.5
 #: Windows of a stretch that are decoded at once, and their overlap; characters decoded side by side, with padding.
@@ -118,11 +118,6 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
-
-
 def initial_weights(seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     out = {"embed": rng.normal(0, 0.3, (CODES, EMBEDDING)), "out_w": rng.normal(0, 0.2, (2 * HIDDEN, TAGS)),
@@ -133,41 +128,51 @@ def initial_weights(seed: int = 7) -> dict[str, np.ndarray]:
     return out
 
 
-def lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+def lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
     """Hidden states (time, batch, hidden) of inputs (time, batch, embedding), and what the way back needs (`keep`)."""
     steps, batch, _ = x.shape
+    inner = np.ascontiguousarray(w[EMBEDDING:])
+    given = x @ w[:EMBEDDING] + b
     h, c = np.zeros((batch, HIDDEN)), np.zeros((batch, HIDDEN))
-    out, kept = np.empty((steps, batch, HIDDEN)), []
+    out = np.empty((steps, batch, HIDDEN))
+    gates, cells = (np.empty((steps, batch, k * HIDDEN)) if keep else [None] * steps for k in (4, 2))
     for t in range(steps):
-        joined = np.concatenate([x[t], h], 1)
-        z = joined @ w + b
-        i, f, o = (sigmoid(z[:, k * HIDDEN:(k + 1) * HIDDEN]) for k in range(3))
+        z = given[t]
+        z += h @ inner
         g = np.tanh(z[:, 3 * HIDDEN:])
-        before, c = c, f * c + i * g
+        s = sigmoid(z[:, :3 * HIDDEN])
+        c = s[:, HIDDEN:2 * HIDDEN] * c + s[:, :HIDDEN] * g
         tc = np.tanh(c)
-        h = o * tc
-        out[t] = h
+        h = np.multiply(s[:, 2 * HIDDEN:], tc, out=out[t])
         if keep:
-            kept.append((joined, i, f, o, g, before, tc))
-    return out, kept
+            gates[t, :, :3 * HIDDEN], gates[t, :, 3 * HIDDEN:] = s, g
+            cells[t, :, :HIDDEN], cells[t, :, HIDDEN:] = c, tc
+    return out, (x, out, gates, cells)
 
 
-def lstm_back(grad: np.ndarray, kept: list, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def lstm_back(grad: np.ndarray, kept: tuple, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x, out, gates, cells = kept
     steps, batch, _ = grad.shape
-    dw, db = np.zeros_like(w), np.zeros(w.shape[1])
-    dx = np.empty((steps, batch, EMBEDDING))
+    inner = np.ascontiguousarray(w[EMBEDDING:].T)
+    i, f, o, g = (gates[:, :, k * HIDDEN:(k + 1) * HIDDEN] for k in range(4))
+    tc = cells[:, :, HIDDEN:]
+    before, last = np.zeros_like(tc), np.zeros_like(out)
+    before[1:], last[1:] = cells[:-1, :, :HIDDEN], out[:-1]
+    # What a step's gradient is multiplied by, for all steps at once: i, f and g by the cell's, o by the state's.
+    by_cell = np.concatenate([g * i * (1 - i), before * f * (1 - f), i * (1 - g * g)], 2)
+    by_state, cell = tc * o * (1 - o), o * (1 - tc * tc)
+    dz = np.empty((steps, batch, 4 * HIDDEN))
     dh, dc = np.zeros((batch, HIDDEN)), np.zeros((batch, HIDDEN))
     for t in range(steps - 1, -1, -1):
-        joined, i, f, o, g, before, tc = kept[t]
         dh = dh + grad[t]
-        dc = dc + dh * o * (1 - tc * tc)
-        dz = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o),
-                             dc * i * (1 - g * g)], 1)
-        dw += joined.T @ dz
-        db += dz.sum(0)
-        back = dz @ w.T
-        dx[t], dh, dc = back[:, :EMBEDDING], back[:, EMBEDDING:], dc * f
-    return dx, dw, db
+        dc = dc + dh * cell[t]
+        own = np.concatenate([dc, dc, dc], 1) * by_cell[t]
+        dz[t, :, :2 * HIDDEN], dz[t, :, 3 * HIDDEN:] = own[:, :2 * HIDDEN], own[:, 2 * HIDDEN:]
+        np.multiply(dh, by_state[t], out=dz[t, :, 2 * HIDDEN:3 * HIDDEN])
+        dh, dc = dz[t] @ inner, dc * f[t]
+    flat = dz.reshape(-1, 4 * HIDDEN)
+    joined = np.concatenate([x, last], 2).reshape(len(flat), -1)
+    return dz @ w[:EMBEDDING].T, joined.T @ flat, flat.sum(0)
 
 
 def emissions(w: dict[str, np.ndarray], codes: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
@@ -179,22 +184,30 @@ def emissions(w: dict[str, np.ndarray], codes: np.ndarray, keep: bool = True) ->
     return hidden @ w["out_w"] + w["out_b"], (hidden, kf, kb)
 
 
+def powers_of(x: np.ndarray, axis=None) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials relative to the largest, above what a double can hold, and the largest."""
+    top = x.max(axis=axis, keepdims=axis is not None)
+    return np.exp(np.maximum(x - top, -300)), top
+
+
 def forward_backward(scores: np.ndarray, begin: np.ndarray, move: np.ndarray):
-    """Log-partition (batch), tag marginals (time, batch, tags) and summed transition marginals."""
+    """Log-partition (batch), tag marginals (time, batch, tags) and summed transition marginals; each step's sums are
+    scaled to one."""
     steps = len(scores)
-    alpha, beta = np.empty_like(scores), np.zeros_like(scores)
-    alpha[0] = begin + scores[0]
-    for t in range(1, steps):
-        alpha[t] = log_sum(alpha[t - 1][:, :, None] + move[None], 1) + scores[t]
+    (here, tops), (step, top) = powers_of(scores, 2), powers_of(move)
+    first, first_top = powers_of(begin)
+    alpha, beta, scale = np.empty_like(scores), np.ones_like(scores), np.empty((*scores.shape[:2], 1))
+    for t in range(steps):
+        a = np.multiply(alpha[t - 1] @ step if t else first, here[t], out=alpha[t])
+        scale[t] = a.sum(1, keepdims=True)
+        a /= scale[t]
+    here /= scale
+    back = step.T.copy()
     for t in range(steps - 2, -1, -1):
-        beta[t] = log_sum(move[None] + (scores[t + 1] + beta[t + 1])[:, None, :], 2)
-    total = log_sum(alpha[-1], 1)
-    marginal = np.exp(alpha + beta - total[None, :, None])
-    moves = np.zeros_like(move)
-    for t in range(1, steps):
-        moves += np.exp(alpha[t - 1][:, :, None] + move[None] + (scores[t] + beta[t])[:, None, :]
-                        - total[:, None, None]).sum(0)
-    return total, marginal, moves
+        beta[t] = (here[t + 1] * beta[t + 1]) @ back
+    total = (np.log(scale) + tops).sum((0, 2)) + first_top + top * (steps - 1)
+    after = (here[1:] * beta[1:]).reshape(-1, scores.shape[2])
+    return total, alpha * beta, step * (alpha[:-1].reshape(len(after), -1).T @ after)
 
 
 def fit(codes: np.ndarray, tags: np.ndarray) -> dict[str, np.ndarray]:
@@ -265,18 +278,20 @@ def decode(scores: list[np.ndarray], w: dict[str, np.ndarray]) -> list[list[tupl
     for k, s in enumerate(scores):
         padded[:len(s), k] = s
     running = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")  # sequences that reach a step
-    alpha, beta, back = np.empty_like(padded), np.zeros_like(padded), np.zeros(padded.shape, np.uint8)
-    alpha[0] = w["begin"] + padded[0]
-    best, final, total = alpha[0].copy(), np.empty(n, np.int64), np.empty(n)
+    alpha, beta, back = np.zeros_like(padded), np.ones_like(padded), np.zeros(padded.shape, np.uint8)
+    here, step = powers_of(padded, 2)[0], powers_of(w["move"])[0]
+    best, final = w["begin"] + padded[0], np.empty(n, np.int64)
     for t in range(steps):
         m, after = running[t], running[t + 1] if t + 1 < steps else 0
+        np.multiply(alpha[t - 1, :m] @ step if t else powers_of(w["begin"])[0], here[t, :m], out=alpha[t, :m])
+        scale = alpha[t, :m].sum(1, keepdims=True)
+        alpha[t, :m] /= scale
+        here[t, :m] /= scale
         if t:
-            alpha[t, :m] = log_sum(alpha[t - 1, :m, :, None] + w["move"], 1) + padded[t, :m]
             ways = best[:m, :, None] + w["move"]
             back[t, :m] = ways.argmax(1)
             best[:m] = ways.max(1) + padded[t, :m]
         final[after:m] = best[after:m].argmax(1)
-        total[after:m] = log_sum(alpha[t, after:m], 1)
     tags = np.zeros((steps, n), np.int64)
     for t in range(steps - 1, -1, -1):
         m, after = running[t], running[t + 1] if t + 1 < steps else 0
@@ -284,9 +299,8 @@ def decode(scores: list[np.ndarray], w: dict[str, np.ndarray]) -> list[list[tupl
         if after:
             ahead = tags[t + 1, :after]
             tags[t, :after] = back[t + 1, np.arange(after), ahead]
-            beta[t, :after] = log_sum(w["move"] + (padded[t + 1, :after] + beta[t + 1, :after])[:, None, :], 2)
-    marginal = np.take_along_axis(alpha + beta, tags[:, :, None], 2)[:, :, 0] - total
-    sure = marginal >= np.log(SURE)
+            beta[t, :after] = (here[t + 1, :after] * beta[t + 1, :after]) @ step.T
+    sure = np.take_along_axis(alpha * beta, tags[:, :, None], 2)[:, :, 0] >= SURE
     out: list[list[tuple[int, int, int]]] = []
     for k, length in enumerate(lengths):
         spans: list[list[int]] = []

@@ -7,8 +7,9 @@ segment reaches as far to both sides as a string through the anchor can. Segment
 1. Anchors that a merged sketch estimates repeated are counted exactly, with a hash of their whole segment.
 2. A segment that occurs twice is repeated as a whole. It is not sorted again for each copy: one stands for all.
 3. Where different segments share an anchor, the texts of the different ones are sorted together: the suffix array over
-   their left and right sides, and from it the longest previous factor of each position, up to `length`. Positions
-   with a factor that long are later copies, and the factor's source is the earlier one.
+   their left and right sides, and from its previous and next smaller positions the longest previous factor of each
+   position where a string through the anchor begins, up to `length`. Positions with a factor that long are later
+   copies, and the factor's source is the earlier one.
 4. Anchors with very many different segments are not sorted in one task: their segments are split by pairs of shorter
    sides, one of which any two segments with a string in common share; groups that are still too large have their
    strings counted by hash.
@@ -79,10 +80,10 @@ class Anchors:
         return at, hashes[at]
 
 
-def truncated_suffix_order(symbols: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each position by (group, the next `depth` symbols); equal ones share a rank. Symbols are below 2^9
-    and 0 ends a text."""
-    packing = 5
+def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of each position by (group, the next symbols), equal ones sharing a rank, for 5, 10, 20 and so on symbols
+    up to `depth`. Symbols are below 2^9 and 0 ends a text."""
+    packing = min(5, depth)
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(depth + packing, np.int64)])
     n = len(symbols)
     key = group.astype(np.int64)
@@ -94,16 +95,15 @@ def truncated_suffix_order(symbols: np.ndarray, group: np.ndarray, depth: int) -
         for j in range(k):
             over |= padded[j:j + n] == 0
         key[over] &= ~(np.int64(511) << np.int64(9 * (packing - 1 - k)))
-    rank = dense(key)
-    done = packing
-    while done < depth:
+    ranks = [(packing, dense(key))]
+    while ranks[-1][0] < depth:
+        done, rank = ranks[-1]
         step = min(done, depth - done)
         follow = np.zeros(n, np.int64)
         follow[:-step or None] = rank[step:] + 1
         follow = np.where(ended_within(padded, n, done), 0, follow)
-        rank = dense(rank * (n + 2) + follow)
-        done += step
-    return rank
+        ranks.append((done + step, dense(rank * (n + 2) + follow)))
+    return ranks
 
 
 def ended_within(padded: np.ndarray, n: int, depth: int) -> np.ndarray:
@@ -120,17 +120,61 @@ def dense(key: np.ndarray) -> np.ndarray:
     return rank
 
 
-def previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
-    """For each place the nearest earlier place of its group with the same `depth` symbols, or -1.
-
-    In the suffix order cut at `depth`, equal suffixes stand together by place: the previous smaller place in that
-    order is the neighbour before, and a factor of `depth` symbols exists if it is in the same class."""
-    rank = truncated_suffix_order(symbols, group, depth)
-    order = np.lexsort((np.arange(len(rank)), rank))
-    source = np.full(len(rank), -1, np.int64)
-    same = rank[order[1:]] == rank[order[:-1]]
-    source[order[1:][same]] = order[:-1][same]
-    return source
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each index the nearest one before it with a smaller value, or -1: least values of runs of 1, 2, 4 and so on
+    are made first, then the longest runs that hold no smaller value are passed over."""
+    n = len(values)
+    least = [values]
+    while 2 ** len(least) <= n:
+        half = 2 ** (len(least) - 1)
+        least.append(np.minimum(least[-1][:-half], least[-1][half:]))  # of the run that begins at each index
+    at = np.arange(n)  # nothing in at .. index is smaller
+    for k in reversed(range(len(least))):
+        begin = at - 2 ** k
+        over = (begin >= 0) & (least[k][np.maximum(begin, 0)] > values)
+        at[over] = begin[over]
+    return at - 1
+
+
+def common_prefix(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Equal symbols from the places x and y of one group on, up to the depth of the ranks and the texts' ends."""
+    ends = np.flatnonzero(symbols == 0)
+    room = np.append(ends, len(symbols))[np.searchsorted(ends, x)] - x
+    n, last = np.zeros(len(x), np.int64), len(symbols) - 1
+    steps = [*reversed(ranks), *[(1, symbols)] * (ranks[0][0] - 1)]
+    open_ = np.ones(len(x), bool)
+    for k, (length, rank) in enumerate(steps):
+        same = open_ & (rank[np.minimum(x + n, last)] == rank[np.minimum(y + n, last)])
+        n[same] += length
+        open_ &= n < room
+        if k == 0:
+            open_ &= ~same  # the whole depth
+        if length == 1:
+            open_ &= same
+    return np.minimum(n, room)
+
+
+def longest_previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int,
+                             places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the `places` (all, if not given; in order) the length, up to `depth`, of the longest string from
+    there on that an earlier one of them in its group begins with too, and that place: the nearest one where the whole
+    depth is equal, -1 where nothing is.
+
+    Of all earlier places, those that stand nearest before and behind in the suffix order (its previous and next
+    smaller values) have the longest strings in common."""
+    places = np.arange(len(symbols)) if places is None else places
+    ranks = suffix_ranks(symbols, group, depth)
+    order = np.argsort(ranks[-1][1][places], kind="stable")  # equal ones by place
+    lengths, source = np.zeros(len(places), np.int64), np.full(len(places), -1, np.int64)
+    before, behind = previous_smaller(order), len(order) - 1 - previous_smaller(order[::-1])[::-1]
+    for near in (before, np.where(behind < len(order), behind, -1)):
+        own, other = order[near >= 0], order[near[near >= 0]]
+        one = group[places[own]] == group[places[other]]
+        own, other = own[one], other[one]
+        n = common_prefix(symbols, ranks, places[own], places[other])
+        longer = n > lengths[own]
+        lengths[own[longer]], source[own[longer]] = n[longer], places[other[longer]]
+    return lengths, source
 
 
 def later_copies(texts: list[str], length: int) -> list[list[tuple[int, int]]]:
@@ -139,10 +183,10 @@ def later_copies(texts: list[str], length: int) -> list[list[tuple[int, int]]]:
     data = [t.encode() for t in texts]
     symbols = np.concatenate([np.append(np.frombuffer(d, np.uint8).astype(np.int64) + 1, 0) for d in data])
     starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
-    source = previous_factors(symbols, np.zeros(len(symbols), np.int64), length)
+    factors, _ = longest_previous_factors(symbols, np.zeros(len(symbols), np.int64), length)
     out = []
     for k, d in enumerate(data):
-        own = np.flatnonzero(source[starts[k]:starts[k] + max(0, len(d) - length + 1)] >= 0)
+        own = np.flatnonzero(factors[starts[k]:starts[k] + len(d)] >= length)
         out.append(merged_spans(np.stack([own, own + length], 1).ravel()))
     return out
 
@@ -160,13 +204,14 @@ def repeated_sides(group: np.ndarray, left: list[bytes], right: list[bytes], run
     symbols[anchor] = 300
     symbols[starts[1:] - 1] = 0
     owner = np.repeat(np.arange(len(left)), totals)
-    source = previous_factors(symbols, group[owner], run + 1)
     before = anchor[owner] - np.arange(len(symbols))  # left bytes of a string from here
     inside = starts[1:][owner] - 1 - np.arange(len(symbols)) > run  # the string ends before its text does
-    later = np.flatnonzero((source >= 0) & (before >= 0) & (before <= run) & inside)
     # Equal strings have the anchor at the same place, else they are another anchor's to find.
-    later = later[before[source[later]] == before[later]]
-    hit = np.concatenate([later, source[later]])
+    places = np.flatnonzero((before >= 0) & (before <= run) & inside)
+    factors, source = longest_previous_factors(symbols, group[owner], run + 1, places)
+    whole = factors > run
+    later, source = places[whole], source[whole]
+    hit = np.concatenate([later, source])
     most, least = np.full(len(left), -1, np.int64), np.full(len(left), run + 1, np.int64)
     np.maximum.at(most, owner[hit], before[hit])
     np.minimum.at(least, owner[hit], before[hit])

@@ -120,22 +120,59 @@ def test_bytes(spark, case, group, monkeypatch):
     same(got, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute_bytes(rows))
 
 
-def test_previous_factors():
-    rng = random.Random(1)
-    for _ in range(30):
-        texts = ["".join(rng.choices("ab", k=rng.randint(1, 30))) for _ in range(6)]
-        groups = [rng.randrange(2) for _ in texts]
+def test_previous_smaller():
+    rng = np.random.default_rng(3)
+    for values in (np.zeros(0, np.int64), np.arange(9), np.arange(9)[::-1], *(rng.permutation(n) for n in range(1, 40))):
+        got = lpf.previous_smaller(values).tolist()
+        assert got == [max((j for j in range(k) if values[j] < v), default=-1) for k, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("depth", [1, 3, 7, 23])
+@pytest.mark.parametrize("some", [False, True])
+def test_longest_previous_factors(depth, some):
+    """Lengths of factors against comparing each place with every earlier one."""
+    rng = random.Random(depth)
+    for _ in range(25):
+        texts = ["".join(rng.choices("ab", k=rng.randint(0, 30))) for _ in range(6)]
+        texts += [texts[0], "ab" * 14]
+        groups = sorted(rng.randrange(3) for _ in texts)
         symbols = np.concatenate([np.frombuffer((t + "\0").encode(), np.uint8).astype(np.int64) for t in texts])
         group = np.concatenate([np.full(len(t) + 1, g) for t, g in zip(texts, groups)])
-        joined = "".join(t + "\0" for t in texts)
-        depth = 7
-        source = lpf.previous_factors(symbols, group, depth)
-        for k in range(len(joined) - depth):
-            own = joined[k:k + depth]
-            if "\0" in own:
-                continue
-            earlier = [j for j in range(k) if joined[j:j + depth] == own and group[j] == group[k]]
-            assert source[k] == (earlier[-1] if earlier else -1)
+        places = np.array([k for k in range(len(symbols)) if not some or rng.random() < 0.5], np.int64)
+        lengths, source = lpf.longest_previous_factors(symbols, group, depth, places if some else None)
+        tails = [t[k:][:depth] for t in texts for k in range(len(t) + 1)]
+
+        def common(x, y):
+            return next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+        for k, place in enumerate(places):
+            earlier = [(common(tails[place], tails[j]), j) for j in places[:k] if group[j] == group[place]]
+            longest = max((n for n, _ in earlier), default=0)
+            assert lengths[k] == longest
+            assert (longest, source[k]) in earlier if longest else source[k] == -1
+            if longest == depth:
+                assert source[k] == max(j for n, j in earlier if n == depth)
+
+
+def test_later_copies():
+    """The first occurrence of each string stays, every later one goes."""
+    rng = random.Random(6)
+    base = [chr(97 + rng.randrange(26)) for _ in range(200)]
+    texts = ["".join(base[:120]), "x" + "".join(base[60:160]) + "y", "zz" * 30, "short", ""]
+    n = 20
+    seen, expected = {}, []
+    for text in texts:
+        covered = bytearray(len(text))
+        for k in range(len(text) - n + 1):
+            if text[k:k + n] in seen:
+                covered[k:k + n] = b"\1" * n
+            seen[text[k:k + n]] = True
+        expected.append(bytes(covered))
+    got = [bytearray(len(t)) for t in texts]
+    for own, spans in zip(got, lpf.later_copies(texts, n)):
+        for a, b in spans:
+            own[a:b] = b"\1" * (b - a)
+    assert [bytes(g) for g in got] == expected
 
 
 @pytest.mark.parametrize("case", CASES)

@@ -8,8 +8,9 @@ each order is a hash of its own.
 Equal sets are one node. The work on large groups is kept small: first each node is compared with one node of its
 shingles' lists for each order, the one with the fewest shingles of its own; links found so far give components, and
 after that only pairs of nodes from different components are left to compare, all of them that share a listed shingle
-and whose counts of shingles that any other document has, and marks (1,024 hashed bits of each set), allow the likeness. So no link that matters for the components
-is lost.
+and whose sizes, counts of shingles that any other document has, and marks (1,024 hashed bits of each set) allow the
+likeness. Lists are split by classes of sizes for that: only sets of one class or of neighbouring ones meet. So no link
+that matters for the components is lost.
 
 Defined cases: null and empty texts have no shingles, are linked with nothing and are components of their own; a text
 with fewer words than a shingle has its whole sequence as one; rows are documents of their own also if repeated (equal
@@ -19,11 +20,12 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright.llm.common import (NO_ID, SPACES, Rolling, as_long, buffer_of, byte_set, chunks, mixed, order_id,
                                     sequences, stored, word_spans)
@@ -32,7 +34,7 @@ from claimwright.llm.sketch import flagged, merged_flags
 
 SHINGLE = 4
 LIKE = (85, 100)
-ORDERS = 2
+ORDERS = 3
 #: 64-bit words of a set's marks.
 WORDS = 16
 
@@ -84,15 +86,20 @@ def marked(spots: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def size_class(n: str, like: tuple[int, int]) -> Column:
+    """Sets that are alike enough are of one class of sizes or of neighbouring ones."""
+    width = math.log(max(like[1] / like[0], 1.05)) * 1.001  # rounding does not move a set by a class
+    return F.floor(F.ln(n) / width)
+
+
 def keys_of(names: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(x[:8] for x in names), np.uint64)
 
 
-def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (to other sets, as far as they were compared) for every row."""
+def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
+    """Of every row of (doc_id, id, text) the name and size of its set, the number of shingles that other documents
+    have too, marks, and the shingles in its prefix under each order (p0, p1, ...; null where it can be alike to none)."""
     num, den = like
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
@@ -104,7 +111,6 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
     twice = context.broadcast(merged_flags(docs.select("text"), keys, size // 6 + 1))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Name and size of each document's set and its shingles in the prefix under each order."""
         shingles = Shingles(shingle)
         for batch in batches:
             for part in chunks(batch):
@@ -133,11 +139,23 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
                      pa.array(marks, pa.list_(pa.int64())), *(pa.array(p, pa.list_(pa.int64())) for p in prefixes)],
                     names=["doc_id", "id", "node", "n", "shared", "marks", *(f"p{k}" for k in range(ORDERS))])
 
-    orders = [f"p{k}" for k in range(ORDERS)]
-    arrays = ", ".join(f"{p} array<long>" for p in orders)
-    rows = stored(docs.mapInArrow(summarise, f"doc_id long, id long, node binary, n long, shared long, marks array<long>, {arrays}"), "sets")
+    arrays = ", ".join(f"p{k} array<long>" for k in range(ORDERS))
+    rows = stored(docs.mapInArrow(summarise, "doc_id long, id long, node binary, n long, shared long, "
+                                             f"marks array<long>, {arrays}"), "sets")
     twice.destroy()
-    nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", *orders).dropDuplicates(["node"]), "nodes")
+    return rows
+
+
+def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (to other sets, as far as they were compared) for every row."""
+    num, den = like
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    context = docs.sparkSession.sparkContext
+    orders = [f"p{k}" for k in range(ORDERS)]
+    rows = prefix_sets(docs, shingle=shingle, like=like)
+    nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", *orders)
+                   .dropDuplicates(["node"]), "nodes")
 
     def lists(order: str) -> DataFrame:
         return nodes.select("node", "n", "shared", F.explode(order).alias("token"))
@@ -218,12 +236,15 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
                 .select("token", "node", "n", "shared", F.coalesce("root", "node").alias("root")))
     split = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     labelled = stored(labelled.join(split.select("token"), "token"), "lists").join(nodes.select("node", "marks"), "node") \
-        .select("token", "node", "n", "shared", "root", "marks")
-    left = labelled.toDF("token", "a", "n_a", "shared_a", "root_a", "marks_a")
-    right = labelled.toDF("token", "b", "n_b", "shared_b", "root_b", "marks_b")
-    across = (left.join(right, "token").where("a < b AND root_a <> root_b")
+        .select("token", size_class("n", like).alias("size"), "node", "n", "shared", "root", "marks")
+    smaller = labelled.toDF("token", "size", "a", "n_a", "shared_a", "root_a", "marks_a")
+    larger = (labelled.withColumn("size", F.explode(F.array("size", F.col("size") - 1)))
+              .toDF("token", "size", "b", "n_b", "shared_b", "root_b", "marks_b"))
+    across = (smaller.join(larger, ["token", "size"])
+              .where("root_a <> root_b AND (n_a < n_b OR n_a = n_b AND a < b)")
               .where(may_be_alike("n_a", "n_b", "shared_a", "shared_b", ("marks_a", "marks_b")))
-              .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+              .join(tried, ["a", "b"], "left_anti"))
     _, more = verified(across)
     links = alike.union(more)
     roots = stored(components(links), "roots")

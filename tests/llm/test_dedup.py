@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimwright.llm import jaccard, lpf, sketch, substring
 from claimwright.llm.common import NO_ID
@@ -198,6 +199,29 @@ def test_jaccard_of_many_near_copies(spark):
     same(got, ["doc_id", "n_shingles", "component_id"], brute_jaccard(rows, 5, (80, 100)))
 
 
+def test_each_order_removes_candidates(spark):
+    """Pairs that share prefix shingles under one, two and three orders: fewer each time, and no link is lost."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(40):
+        own = list(base)
+        for _ in range(rng.randint(0, 6)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(8)}"
+        rows.append((k, " ".join(own)))
+    docs = h.documents(spark, rows).select("doc_id", F.col("doc_id").alias("id"), "text")
+    sets = {r.doc_id: r for r in jaccard.prefix_sets(docs).collect()}
+    texts = dict(rows)
+    alike = {(a, b) for a, b in h.pairs(sorted(texts))
+             if len({c for _, _, c in brute_jaccard([(a, texts[a]), (b, texts[b])])}) == 1}
+    left, counts = set(h.pairs(sorted(texts))), []
+    for p in ("p0", "p1", "p2"):
+        left = {(a, b) for a, b in left if set(sets[a][p] or ()) & set(sets[b][p] or ())}
+        counts.append(len(left))
+    assert alike <= left and len(alike) > 5
+    assert counts[0] > counts[1] > counts[2]
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 130)]

@@ -120,12 +120,14 @@ def dense(key: np.ndarray) -> np.ndarray:
     return rank
 
 
-def previous_smaller(values: np.ndarray) -> np.ndarray:
+def previous_smaller(values: np.ndarray, reach: int | None = None) -> np.ndarray:
     """For each index the nearest one before it with a smaller value, or -1: least values of runs of 1, 2, 4 and so on
-    are made first, then the longest runs that hold no smaller value are passed over."""
+    are made first, then the longest runs that hold no smaller value are passed over. Where there is none in the last
+    `reach` indices, any one beyond them."""
     n = len(values)
+    reach = n if reach is None else min(reach, n)
     least = [values]
-    while 2 ** len(least) <= n:
+    while 2 ** len(least) <= reach:
         half = 2 ** (len(least) - 1)
         least.append(np.minimum(least[-1][:-half], least[-1][half:]))  # of the run that begins at each index
     at = np.arange(n)  # nothing in at .. index is smaller
@@ -166,7 +168,8 @@ def longest_previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int,
     ranks = suffix_ranks(symbols, group, depth)
     order = np.argsort(ranks[-1][1][places], kind="stable")  # equal ones by place
     lengths, source = np.zeros(len(places), np.int64), np.full(len(places), -1, np.int64)
-    before, behind = previous_smaller(order), len(order) - 1 - previous_smaller(order[::-1])[::-1]
+    reach = int(np.unique(group[places], return_counts=True)[1].max(initial=0))  # a group stands together
+    before, behind = previous_smaller(order, reach), len(order) - 1 - previous_smaller(order[::-1], reach)[::-1]
     for near in (before, np.where(behind < len(order), behind, -1)):
         own, other = order[near >= 0], order[near[near >= 0]]
         one = group[places[own]] == group[places[other]]

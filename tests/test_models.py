@@ -235,6 +235,53 @@ def test_cross_validation(split_sets):
     assert found.best.transform(split_sets[1]).select("prediction").count() > 0
 
 
+def test_a_shorter_fit_is_the_beginning_of_a_longer_one(split_sets):
+    rows = training.assembler().transform(training.spread(split_sets[0].select("label", *FEATURES))).persist()
+    long, short = (training.gbt(maxIter=n, maxDepth=3).fit(rows) for n in (6, 4))
+    cut = training.first_trees(long, 4)
+    assert cut.getNumTrees == 4 and list(cut.treeWeights) == list(short.treeWeights)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in short.trees]
+    both = cut.transform(rows).select("rawPrediction").collect(), short.transform(rows).select("rawPrediction").collect()
+    assert both[0] == both[1]
+    rows.unpersist()
+
+
+def test_combinations_share_fits():
+    fits = training.shared_fits([{"maxIter": a, "maxDepth": b} for a in (60, 80) for b in (4, 5)], stepSize=0.2)
+    assert [takers for _, takers in fits] == [{0: 60, 2: 80}, {1: 60, 3: 80}]
+    assert all(fit["maxIter"] == 80 and fit["stepSize"] == 0.2 for fit, _ in fits) and fits[0][0]["maxDepth"] == 4
+
+
+def test_fits_side_by_side_have_their_own_properties(spark, split_sets, monkeypatch):
+    """With one copy of the local properties in several threads, an execution loses its id to another's end."""
+    seen, gbt = [], training.gbt
+
+    class Watched:
+        def __init__(self, **params):
+            self.own = gbt(**params)
+
+        def fit(self, rows):
+            context = spark.sparkContext
+            seen.append(context._jvm.System.identityHashCode(context._jsc.sc().getLocalProperties()))
+            return self.own.fit(rows)
+
+    monkeypatch.setattr(training, "gbt", Watched)
+    training.cross_validate_gbt(split_sets[0], grid={"maxIter": [2], "maxDepth": [1, 2, 3]}, folds=2)
+    assert len(seen) == 7 and len(set(seen[:6])) == 6
+
+
+def test_partitions_in_training_follow_cores_and_rows(spark, split_sets, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_PER_PARTITION", 10)
+    rows = spark.range(0, 300, 1, 2)
+    assert training.spread(rows).rdd.getNumPartitions() == 30
+    monkeypatch.setattr(training, "ROWS_PER_PARTITION", 1000)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert training.spread(rows).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_explained_model_parameters(split_sets, monkeypatch):
     monkeypatch.setitem(training.EXPLAINED_GBT_PARAMS, "maxIter", 2)
     model = training.train_explained_gbt(split_sets[0]).stages[-1]

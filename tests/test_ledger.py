@@ -5,13 +5,15 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import inputs
 from claimwright.operators.dedup import dedup_claims
 from claimwright.operators.messages import decode_messages
 from claimwright.operators.validation import normalise, validate
 from claimwright.sources.streams import captured_messages
+from claimwright.sources import tables
 from claimwright.sources.tables import read_raw_claims
 from claimwright.streaming import ledger
-from tests.conftest import AS_OF
+from tests.conftest import AS_OF, SF
 from tests.test_streaming import START, ids, three_files, write_messages  # noqa: F401
 
 
@@ -124,3 +126,56 @@ def test_no_messages(spark, make_claims, tmp_path):
     land(spark, path, landing, tmp_path)
     assert ids(ledger.landed(spark, landing)) == []
     assert tuple(ledger.totals(spark, landing).first()) == (0, 0, 0, 0, 0)
+
+
+def test_arrivals_of_several_files_are_batches(spark, tmp_path, monkeypatch):
+    """Every arrival has the same number of files, empty ones where it has few rows, so batches are arrivals."""
+    captured = spark.read.parquet(inputs.captured_path(spark, SF))
+    monkeypatch.setattr(inputs, "captured_path", lambda *_: str(tmp_path / "captured"))
+    year = F.year("timestamp")
+    captured.where((year != 1993) | (F.col("offset") % 997 == 0)).repartition(5).write.parquet(str(tmp_path / "captured"))
+    size = tables.input_summary(spark, str(tmp_path / "captured")).first()["total_bytes"]
+    monkeypatch.setattr(inputs, "BYTES_PER_FILE", size // 3 + 1)
+    path = str(tmp_path / "messages")
+    for numbers in (range(4), range(4, inputs.ARRIVALS)):
+        inputs.append_arrivals(spark, SF, path, numbers)
+    files = tables.data_files(spark, path).count()
+    assert inputs.arrival_files(spark, SF) == 3 and files == 3 * inputs.ARRIVALS
+    taken = []
+    captured_messages(spark, path, files_per_trigger=3).writeStream.foreachBatch(lambda rows, batch: taken.extend(
+        (batch, r["arrival"], r["n"]) for r in rows.groupBy(inputs.arrival().alias("arrival")).agg(
+            F.count("*").alias("n")).collect())).trigger(availableNow=True).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "captured")).groupBy(inputs.arrival().alias("arrival")).count()
+    assert sorted(taken) == sorted((r["arrival"], r["arrival"], r["count"]) for r in rows.collect())
+
+
+def test_batches_of_a_backlog_are_bounded(spark, tmp_path, monkeypatch):
+    captured = spark.read.parquet(inputs.captured_path(spark, SF)).limit(400)
+    monkeypatch.setattr(inputs, "captured_path", lambda *_: str(tmp_path / "captured"))
+    captured.repartition(40).write.parquet(str(tmp_path / "captured"))
+    monkeypatch.setattr(inputs, "BATCHES", 4)
+    sizes = []
+    inputs.several_batches(spark, SF).writeStream.foreachBatch(lambda rows, _: sizes.append(rows.count())).trigger(
+        availableNow=True).option("checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
+    assert len(sizes) == 4 and sum(sizes) == 400
+
+
+def test_messages_are_captured_without_a_shuffle_of_their_own(spark, monkeypatch):
+    """Neither sorted nor dealt again: they are much larger than the order lines."""
+    seen = []
+    monkeypatch.setattr(inputs, "stored", lambda _, sf_dir, name, build: seen.append(build) or "")
+    monkeypatch.setattr(inputs, "messages", lambda *_: Kept())
+
+    class Kept:
+        write = property(lambda self: self)
+
+        def hint(self, *_):
+            raise AssertionError("another shuffle")
+
+        def parquet(self, path):
+            seen.append(path)
+
+    inputs.captured_path(spark, SF)
+    seen[0]("here")
+    assert seen[1] == "here"

@@ -208,6 +208,23 @@ def test_deep_paths_equal_brute_force(depth, n_features, rows):
         assert np.allclose(got, brute_force_shapley(x, nodes), atol=1e-10)
 
 
+def test_paths_are_worked_out_once_not_for_each_batch(monkeypatch):
+    rng = np.random.default_rng(7)
+    nodes = deep_tree(5, 6, rng)
+    ensemble, _ = trees.load_ensemble(Relation(nodes))
+    tables = trees.tabulate(ensemble)
+    assert sum(len(found) for _, found, _ in tables) < len(ensemble[0].leaves) and not any(left for *_, left in tables)
+    x = rng.normal(size=(trees.BLOCK_ROWS + 50, 6))
+    x[3, 2] = np.nan  # a missing value goes right
+    # leaf by leaf, as trees beyond the tables' bytes are, and in branches of any size
+    by_leaf = trees.attribute_columns(trees.tabulate(ensemble, table_bytes=0), list(x.T))
+    few = trees.attribute_columns(trees.tabulate(ensemble, most=3), list(x.T))
+    monkeypatch.setattr(trees, "shares", None)  # no row needs it any more
+    whole = trees.attribute_columns(tables, list(x.T))
+    assert np.allclose(whole, by_leaf, atol=1e-12) and np.allclose(few, by_leaf, atol=1e-12)
+    assert np.allclose(whole[:, :5], brute_force_shapley(x[:5], nodes).T, atol=1e-10)
+
+
 def test_dependence_bins_of_missing_and_constant_values(spark):
     rows = [(float(k % 10), 1.0, k / 10) for k in range(50)] + [(None, 1.0, 5.0)]
     frame = spark.createDataFrame(rows, "u double, v double, shap_u double").withColumn("shap_v", -F.col("shap_u"))

@@ -15,7 +15,7 @@ from claimwright.operators.messages import encode_messages
 from claimwright.operators.sampling import hash_split
 from claimwright.plans.features import build_features, clean_batch
 from claimwright.schema import PROCEDURES
-from claimwright.session import shared_dir
+from claimwright.session import shared_dir, sized_shuffles
 from claimwright.sources.streams import TOPIC, captured_messages
 from claimwright.sources.tables import input_summary, read_raw_claims, save_parquet, write_raw_claims
 from claimwright.streaming import ledger
@@ -43,9 +43,17 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], N
     return _stored[key]
 
 
+def order_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the tables that claims are made of, each a file or a folder."""
+    return sum(input_summary(spark, f"{sf_dir}/{name}.parquet").first()["total_bytes"] for name in ("lineitem", "orders"))
+
+
 def claims_path(spark: SparkSession, sf_dir: str) -> str:
-    return stored(spark, sf_dir, "claims", lambda path: write_raw_claims(
-        clean_batch(source_claims(spark, sf_dir), AS_OF), path))
+    def build(path: str) -> None:
+        with sized_shuffles(spark, order_bytes(spark, sf_dir)):
+            write_raw_claims(clean_batch(source_claims(spark, sf_dir), AS_OF), path)
+
+    return stored(spark, sf_dir, "claims", build)
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Statistics of up to this many keys are broadcast (a few MB); the size is checked before the hint is given.
 BROADCAST_ROWS = 50_000
+# Providers are a key, a count and three numbers each: this many take some 50 MB, and joined by shuffle they would send all
+# claims, with all columns, across it.
+BROADCAST_PROVIDERS = 500_000
 # At most so many keys can be hot: a key is, with at least this part of the rows or of a shuffle partition's share.
 HOT_KEYS = 100_000
 
@@ -60,7 +63,7 @@ def with_key_stats(claims: DataFrame, stats: DataFrame, key: str, weight: str, s
     )
 
 
-def with_provider_stats(claims: DataFrame, stats: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_provider_stats(claims: DataFrame, stats: DataFrame, broadcast_rows: int = BROADCAST_PROVIDERS) -> DataFrame:
     """Claims with their provider's statistics; nulls where the provider has none."""
     return with_key_stats(
         claims, stats, "provider_id", "provider_total_claims", F.col("claim_id"), broadcast_rows

@@ -13,7 +13,7 @@ from claimwright.operators.profile import profile
 from claimwright.operators.stats import provider_stats, region_stats
 from claimwright.operators.validation import normalise, validate
 from claimwright.plans import benchmarks, reports, workflow
-from claimwright.session import BYTES_PER_PARTITION, DEFAULTS, build_session, shared_dir, size_shuffles
+from claimwright.session import BYTES_PER_PARTITION, DEFAULTS, build_session, shared_dir, size_shuffles, sized_shuffles
 from claimwright.sources import external, tables
 from tests.conftest import SF
 
@@ -263,3 +263,41 @@ def test_long_report_is_written_in_order_by_many_tasks(spark, tmp_path):
             assert own == set(whole[f["first_row"] - 1:f["first_row"] - 1 + f["n_rows"]])
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_claims_keep_their_place_with_many_providers(spark, make_claims):
+    """Sixty thousand providers are still broadcast, whatever Spark takes their size to be."""
+    providers = spark.range(60_000).select(
+        F.concat(F.lit("PRV"), F.col("id")).alias("provider_id"), F.lit(1).cast("long").alias("provider_total_claims"),
+        F.lit(1.0).alias("provider_avg_claim"), F.lit(1.0).alias("provider_max_claim"),
+        F.lit(0.0).alias("provider_fraud_rate"))
+    claims = make_claims({"claim_id": "a"}, {"claim_id": "b", "provider_id": "PRV70000"}, {"claim_id": "c", "provider_id": None})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = with_provider_stats(claims, providers)
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert {r["claim_id"]: r["provider_avg_claim"] for r in joined.collect()} == {"a": 1.0, "b": None, "c": None}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_shuffles_follow_the_input_for_a_while(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), sized_shuffles(spark, 101, 10):
+        assert spark.range(9).groupBy("id").count()._jdf.queryExecution().executedPlan() and spark.conf.get(name) == "11"
+        raise ValueError
+    assert spark.conf.get(name) == before
+    with sized_shuffles(spark, 1, 10):
+        assert spark.conf.get(name) == before  # never lowered
+
+
+def test_claims_are_sorted_in_as_many_parts_as_their_tables_need(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(inputs, "write_raw_claims", lambda claims, path: seen.append(
+        spark.conf.get("spark.sql.shuffle.partitions")))
+    monkeypatch.setattr(inputs, "order_bytes", lambda spark, sf_dir: 100 * 16 * 2**20)
+    monkeypatch.setattr(inputs, "_stored", {})
+    inputs.claims_path(spark, "/root/testdata/sf0.001")
+    assert seen == ["100"]

@@ -399,3 +399,19 @@ def test_linear_attribution_of_integers(spark):
 def test_fill(spark):
     rows = spark.createDataFrame([(None, None), (2, 0.5)], "age int, bmi double")
     assert attribution.fill_features(rows, ["age", "bmi"]).collect() == [(0, 0.0), (2, 0.5)]
+
+
+def test_memory_is_left_to_the_passes(split_sets, monkeypatch):
+    """The rows that an estimator reads a few times, before it holds its own form of them, are kept on disk."""
+    levels = []
+
+    class Watched:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, rows):
+            levels.append(rows.storageLevel)
+
+    monkeypatch.setattr(training, "Pipeline", Watched)
+    training.train_lr(split_sets[0])
+    assert levels[0].useDisk and not levels[0].useMemory

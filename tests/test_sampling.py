@@ -89,3 +89,8 @@ def test_bernoulli(spark):
     assert 800 < part.count() < 1200 and sampling.bernoulli_sample(rows, 1.0).count() == 4000
     again = sampling.bernoulli_sample(rows.repartition(7), 0.25, key="id")
     assert {r.id for r in part.collect()} == {r.id for r in again.collect()}
+
+
+def test_a_draw_is_hashed_once(labelled):
+    plan = sampling.oversample_poisson(labelled)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1

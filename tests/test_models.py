@@ -415,3 +415,16 @@ def test_memory_is_left_to_the_passes(split_sets, monkeypatch):
     monkeypatch.setattr(training, "Pipeline", Watched)
     training.train_lr(split_sets[0])
     assert levels[0].useDisk and not levels[0].useMemory
+
+
+def test_dependence_stores_what_it_reads(spark, features, monkeypatch, tmp_path):
+    from catalog import inputs, queries
+
+    monkeypatch.setattr(inputs, "_stored", {})
+    monkeypatch.setattr(inputs, "new_dir", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "_explained", lambda spark, sf_dir: attribution.linear_shap(
+        features, queries.LINEAR_WEIGHTS).withColumn("other", F.lit(1)))
+    row = queries.dependence_rows(spark, "somewhere").first()
+    assert row["n_features"] == 10 and row["fewest"] == row["most"] == features.count()
+    stored = spark.read.parquet(next(iter(inputs._stored.values())))
+    assert stored.columns == [*FEATURES, *[f"shap_{f}" for f in FEATURES]]

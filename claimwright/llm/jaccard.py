@@ -12,6 +12,11 @@ and whose sizes, counts of shingles that any other document has, and marks (1,02
 likeness. Lists are split by classes of sizes for that: only sets of one class or of neighbouring ones meet. So no link
 that matters for the components is lost.
 
+The lists of that last comparison must stay short as tables grow: they are the prefixes under one more order, which puts
+last the shingles that are repeated within small parts of the rows, the common ones. It is the same for all sets, so
+what two sets have in common begins with one shingle in both; a pair is left out at shingles that have too few of either
+set behind them, and a pair that is alike is found at the first.
+
 Defined cases: null and empty texts have no shingles, are linked with nothing and are components of their own; a text
 with fewer words than a shingle has its whole sequence as one; rows are documents of their own also if repeated (equal
 rows are linked); a null id is larger than any other, and a component of such rows only has a null id; extra columns
@@ -35,6 +40,8 @@ from claimwright.llm.sketch import flagged, merged_flags
 SHINGLE = 4
 LIKE = (85, 100)
 ORDERS = 3
+#: A shingle repeated within one in so many rows is a common one; each part sorts more of them out.
+PARTS = (4, 32)
 #: 64-bit words of a set's marks.
 WORDS = 16
 
@@ -98,7 +105,8 @@ def keys_of(names: list[bytes]) -> np.ndarray:
 
 def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
     """Of every row of (doc_id, id, text) the name and size of its set, the number of shingles that other documents
-    have too, marks, and the shingles in its prefix under each order (p0, p1, ...; null where it can be alike to none)."""
+    have too, marks, and the shingles in its prefix under each order (p0, p1, ...; null where it can be alike to none)
+    and, sorted, under the one that has common shingles last (rare)."""
     num, den = like
     context = docs.sparkSession.sparkContext
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -108,7 +116,19 @@ def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int
         for part in chunks(batch):
             yield shingles.of(part.column("text"))[0]
 
-    twice = context.broadcast(merged_flags(docs.select("text"), keys, size // 6 + 1))
+    def flags_of(rows: DataFrame, expected: int):
+        return context.broadcast(merged_flags(rows.select("text"), keys, expected))
+
+    twice = flags_of(docs, size // 6 + 1)
+    common = [flags_of(docs.where(F.pmod(F.xxhash64("id", F.lit(part)), F.lit(part)) == 0), size // 6 // part + 1)
+              for part in PARTS]
+
+    def commonness(hashes: np.ndarray) -> np.ndarray:
+        """In how many of the parts a shingle is repeated, as the sketches say, and behind that its hash."""
+        places = mixed(hashes, 30) >> np.uint64(2)
+        for flags in common:
+            places += flagged(hashes, *flags.value).astype(np.uint64) << np.uint64(62)
+        return places
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(shingle)
@@ -116,8 +136,9 @@ def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int
             for part in chunks(batch):
                 hashes, begins = shingles.of(part.column("text"))
                 shared = flagged(hashes, *twice.value)
-                common = np.concatenate([[0], np.cumsum(shared)])[begins]
+                n_shared = np.diff(np.concatenate([[0], np.cumsum(shared)])[begins])
                 prefixes: list[list] = [[] for _ in range(ORDERS)]
+                rare: list = []
                 spots = (mixed(hashes, 55) % np.uint64(64 * WORDS)).astype(np.int64)
                 marks: list = []
                 for a, b in zip(begins[:-1], begins[1:]):
@@ -126,6 +147,7 @@ def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int
                     own = hashes[a:b][shared[a:b]]
                     left = length - (n - len(own))  # of the prefix, behind the shingles no other document has
                     marks.append(marked(spots[a:b]) if left > 0 and len(own) else None)
+                    rare.append(as_long(own[np.argsort(commonness(own))[:left]]) if left > 0 else None)
                     for k, out in enumerate(prefixes):
                         if left <= 0:
                             out.append(None)
@@ -135,17 +157,51 @@ def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int
                             out.append(as_long(own[np.argpartition(mixed(own, 30 + k), left - 1)[:left]]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("id"), pa.array(node_names(hashes, begins), pa.binary()),
-                     pa.array(np.diff(begins)), pa.array(np.diff(common)),
-                     pa.array(marks, pa.list_(pa.int64())), *(pa.array(p, pa.list_(pa.int64())) for p in prefixes)],
-                    names=["doc_id", "id", "node", "n", "shared", "marks", *(f"p{k}" for k in range(ORDERS))])
+                     pa.array(np.diff(begins)), pa.array(n_shared),
+                     pa.array(marks, pa.list_(pa.int64())), pa.array(rare, pa.list_(pa.int64())),
+                     *(pa.array(p, pa.list_(pa.int64())) for p in prefixes)],
+                    names=["doc_id", "id", "node", "n", "shared", "marks", "rare", *(f"p{k}" for k in range(ORDERS))])
 
     arrays = ", ".join(f"p{k} array<long>" for k in range(ORDERS))
     rows = stored(docs.mapInArrow(summarise, "doc_id long, id long, node binary, n long, shared long, "
-                                             f"marks array<long>, {arrays}"), "sets")
-    twice.destroy()
+                                             f"marks array<long>, rare array<long>, {arrays}"), "sets")
+    for flags in (twice, *common):
+        flags.destroy()
     return rows
 
 
+def may_be_alike(like: tuple[int, int], n_x: str, n_y: str, shared_x: str, shared_y: str,
+                 marks: tuple[str, str] | None = None) -> Column:
+    """Two sets have no more in common than either shares with any document, and every mark that only one of them
+    has stands for a shingle that only it has."""
+    num, den = like
+    most = F.least(n_x, n_y, shared_x, shared_y)
+    if marks:
+        x, y = ([F.col(m)[k] for k in range(WORDS)] for m in marks)
+        only_x = sum((F.bit_count(p.bitwiseAND(F.bitwise_not(q))) for p, q in zip(x, y)), F.lit(0))
+        only_y = sum((F.bit_count(q.bitwiseAND(F.bitwise_not(p))) for p, q in zip(x, y)), F.lit(0))
+        most = F.least(most, F.col(n_x) - only_x, F.col(n_y) - only_y)
+    return den * most >= num * (F.col(n_x) + F.col(n_y) - most)
+
+
+def pairs_across(nodes: DataFrame, roots: DataFrame, like: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of `nodes` of different components, by `roots` (node, root), that may be alike."""
+    lists = nodes.select("node", "n", "shared", F.posexplode("rare").alias("place", "token")) \
+        .select("token", "node", "n", (F.col("shared") - F.col("place")).alias("shared"))  # from this shingle on
+    labelled = (lists.join(roots, "node", "left")
+                .select("token", "node", "n", "shared", F.coalesce("root", "node").alias("root")))
+    split = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    labelled = stored(labelled.join(split.select("token"), "token"), "lists").join(nodes.select("node", "marks"), "node") \
+        .select("token", size_class("n", like).alias("size"), "node", "n", "shared", "root", "marks")
+    smaller = labelled.toDF("token", "size", "a", "n_a", "shared_a", "root_a", "marks_a")
+    larger = (labelled.withColumn("size", F.explode(F.array("size", F.col("size") - 1)))
+              .toDF("token", "size", "b", "n_b", "shared_b", "root_b", "marks_b"))
+    return (smaller.join(larger, ["token", "size"])
+            .where("root_a <> root_b AND (n_a < n_b OR n_a = n_b AND a < b)")
+            .where(may_be_alike(like, "n_a", "n_b", "shared_a", "shared_b", ("marks_a", "marks_b")))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (to other sets, as far as they were compared) for every row."""
     num, den = like
@@ -154,7 +210,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
     context = docs.sparkSession.sparkContext
     orders = [f"p{k}" for k in range(ORDERS)]
     rows = prefix_sets(docs, shingle=shingle, like=like)
-    nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", *orders)
+    nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", "rare", *orders)
                    .dropDuplicates(["node"]), "nodes")
 
     def lists(order: str) -> DataFrame:
@@ -202,17 +258,6 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
         wanted.destroy()
         return candidates, same
 
-    def may_be_alike(n_x: str, n_y: str, shared_x: str, shared_y: str, marks: tuple[str, str] | None = None):
-        """Two sets have no more in common than either shares with any document, and every mark that only one of them
-        has stands for a shingle that only it has."""
-        most = F.least(n_x, n_y, shared_x, shared_y)
-        if marks:
-            x, y = ([F.col(m)[k] for k in range(WORDS)] for m in marks)
-            only_x = sum((F.bit_count(p.bitwiseAND(F.bitwise_not(q))) for p, q in zip(x, y)), F.lit(0))
-            only_y = sum((F.bit_count(q.bitwiseAND(F.bitwise_not(p))) for p, q in zip(x, y)), F.lit(0))
-            most = F.least(most, F.col(n_x) - only_x, F.col(n_y) - only_y)
-        return den * most >= num * (F.col(n_x) + F.col(n_y) - most)
-
     # One node of each list against the others: the one with the fewest shingles of its own, which is the likeliest to
     # be what the others are copies of. Each node keeps the best such pair of each order.
     stars = None
@@ -223,7 +268,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
         centre = centre.select("token", "c.own", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"),
                                F.col("c.shared").alias("shared_a"))
         star = (whole.join(centre, "token").where(F.col("node") != F.col("a"))
-                .where(may_be_alike("n", "n_a", "shared", "shared_a"))
+                .where(may_be_alike(like, "n", "n_a", "shared", "shared_a"))
                 .groupBy(F.col("node").alias("b")).agg(F.min(F.struct("own", "a")).alias("best"))
                 .select(F.col("best.a").alias("a"), "b"))
         stars = star if stars is None else stars.union(star)
@@ -231,20 +276,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
     tried, alike = verified(stars)
 
     # Every other pair, as far as it would join two components.
-    roots = components(alike)
-    labelled = (lists(orders[0]).join(roots, "node", "left")
-                .select("token", "node", "n", "shared", F.coalesce("root", "node").alias("root")))
-    split = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    labelled = stored(labelled.join(split.select("token"), "token"), "lists").join(nodes.select("node", "marks"), "node") \
-        .select("token", size_class("n", like).alias("size"), "node", "n", "shared", "root", "marks")
-    smaller = labelled.toDF("token", "size", "a", "n_a", "shared_a", "root_a", "marks_a")
-    larger = (labelled.withColumn("size", F.explode(F.array("size", F.col("size") - 1)))
-              .toDF("token", "size", "b", "n_b", "shared_b", "root_b", "marks_b"))
-    across = (smaller.join(larger, ["token", "size"])
-              .where("root_a <> root_b AND (n_a < n_b OR n_a = n_b AND a < b)")
-              .where(may_be_alike("n_a", "n_b", "shared_a", "shared_b", ("marks_a", "marks_b")))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-              .join(tried, ["a", "b"], "left_anti"))
+    across = pairs_across(nodes, components(alike), like).join(tried, ["a", "b"], "left_anti")
     _, more = verified(across)
     links = alike.union(more)
     roots = stored(components(links), "roots")

@@ -222,6 +222,31 @@ def test_each_order_removes_candidates(spark):
     assert counts[0] > counts[1] > counts[2]
 
 
+def test_few_pairs_of_near_misses_are_compared(spark):
+    """A group whose members are each a little too far from the others: what they share is common, and the comparison
+    begins at rarer shingles. No link is lost."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(70):
+        own = list(base)
+        for place in rng.sample(range(0, 300, 5), 8 if k % 7 else 2):
+            own[place] = f"x{rng.randrange(3)}"
+        rows.append((k, " ".join(own)))
+    docs = h.documents(spark, rows).select("doc_id", F.col("doc_id").alias("id"), "text")
+    sets = jaccard.prefix_sets(docs).where("p0 IS NOT NULL")
+    found = {r.node: r for r in sets.collect()}
+    roots = spark.createDataFrame([], "node binary, root binary")
+    pairs = {(r.a, r.b) for r in jaccard.pairs_across(sets, roots, jaccard.LIKE).collect()}
+    texts = {r.node: dict(rows)[r.doc_id] for r in found.values()}
+    names = sorted(found)
+    alike = {(a, b) for a, b in h.pairs(names)
+             if len({c for _, _, c in brute_jaccard([(0, texts[a]), (1, texts[b])])}) == 1}
+    sharing = {(a, b) for a, b in h.pairs(names) if set(found[a].p0) & set(found[b].p0)}
+    assert alike <= pairs and len(alike) > 20
+    assert len(pairs) < len(sharing) / 10
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 130)]

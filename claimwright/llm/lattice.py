@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimwright.llm.common import chunks, stored, with_copy
+from claimwright.llm.common import CHUNK_BYTES, chunks, stored, with_copy
 
 #: Rows whose id's checksum leaves this remainder are held out.
 FOLDS, HELD_OUT = 7, 2
@@ -82,6 +82,7 @@ class Lattice:
         self.index = {p: k for k, p in enumerate(pieces)}
         self.beginnings = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         self.size = len(pieces)
+        self.follow: np.ndarray | None = None
 
     def found(self, word: bytes, a: int) -> Iterator[tuple[int, int]]:
         """(end place, piece) of the pieces that begin at a place."""
@@ -121,18 +122,38 @@ class Lattice:
                     if alpha[a] > -math.inf:
                         total[k] += math.exp(alpha[a] + step - whole)
 
+    def steps(self) -> None:
+        """What `arcs` goes by: the beginnings as nodes, 0 the empty one, with each node's follower for each byte, or 0,
+        and the piece that a node is, or -1."""
+        names = sorted(self.beginnings, key=lambda p: (len(p), p))
+        number = {p: k + 1 for k, p in enumerate(names)} | {b"": 0}
+        table = np.zeros((len(number), 256), np.uint16 if len(number) < 2**16 else np.int32)
+        table[[number[p[:-1]] for p in names], [p[-1] for p in names]] = np.arange(1, len(number))
+        self.follow = table.ravel()
+        self.piece = np.array([-1, *(self.index.get(p, -1) for p in names)], np.int32)
+
     def arcs(self, words: list[bytes]) -> np.ndarray:
         """(end place, piece length, word): the piece that ends there, or -1. Words have one length."""
         length = len(words[0])
+        if self.follow is None:
+            self.steps()
         out = np.full((length + 1, min(self.longest, length) + 1, len(words)), -1, np.int32)
-        for j, word in enumerate(words):
-            for a in range(length):
-                for b, k in self.found(word, a):
-                    out[b, b - a, j] = k
+        text = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), length).T.copy()
+        for a in range(length):  # all words at once: the beginnings that go on, byte by byte
+            row, node = np.arange(len(words)), np.zeros(len(words), np.int64)
+            for b in range(a, min(length, a + self.longest)):
+                node = self.follow[node * 256 + text[b][row]].astype(np.int64)
+                row, node = row[node > 0], node[node > 0]
+                if not len(row):
+                    break
+                out[b + 1, b + 1 - a, row] = self.piece[node]
         return out
 
     def forward(self, arcs: np.ndarray, logs: np.ndarray) -> np.ndarray:
         """Log-sums (place, word) over all ways to reach each place."""
+        if self.plain(arcs, logs):
+            with np.errstate(divide="ignore"):  # places that no piece ends at
+                return np.log(self.sums(arcs, np.append(np.exp(logs), 0.0)))
         padded = np.append(logs, -np.inf)
         out = np.full((arcs.shape[0], arcs.shape[2]), -np.inf)
         out[0] = 0
@@ -142,8 +163,32 @@ class Lattice:
             out[b] = top + np.log(sum(np.exp(s - top) for s in steps))
         return out
 
+    def plain(self, arcs: np.ndarray, logs: np.ndarray) -> bool:
+        """Whether no product of weights along a word is too small for a number: then no logarithms are needed."""
+        return len(arcs) * -float(logs.min()) < 600
+
+    def sums(self, arcs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """`forward` of weights themselves, the last of which is that of no piece."""
+        out = np.zeros((arcs.shape[0], arcs.shape[2]))
+        out[0] = 1
+        for b in range(1, len(out)):
+            for n in range(1, min(b, arcs.shape[1] - 1) + 1):
+                out[b] += out[b - n] * weights[arcs[b, n]]
+        return out
+
     def expected(self, arcs: np.ndarray, logs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over the words, each as often as counted."""
+        if self.plain(arcs, logs):
+            weights = np.append(np.exp(logs), 0.0)
+            alpha, beta = self.sums(arcs, weights), np.zeros((arcs.shape[0], arcs.shape[2]))
+            uses = np.zeros(arcs.shape)
+            beta[-1] = counts / alpha[-1]
+            for b in range(len(alpha) - 1, 0, -1):
+                for n in range(1, min(b, arcs.shape[1] - 1) + 1):
+                    step = weights[arcs[b, n]] * beta[b]
+                    beta[b - n] += step
+                    uses[b, n] = alpha[b - n] * step
+            return np.bincount(arcs.ravel() + 1, uses.ravel(), self.size + 1)[1:]
         padded = np.append(logs, -np.inf)
         alpha = self.forward(arcs, logs)
         beta = np.full_like(alpha, -np.inf)
@@ -183,6 +228,18 @@ def word_weights(names: list[bytes], uses: np.ndarray) -> tuple[np.ndarray, floa
     return logs, float(np.log(stop))
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined until the recursions have enough words, of bounded length, to take at once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= WORDS_AT_ONCE or sum(b.nbytes for b in held) >= CHUNK_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def spaced(words: list[bytes]) -> list[bytes]:
     return [b" " + w for w in words]
 
@@ -239,7 +296,7 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, logs = Lattice(pieces.value[0]), pieces.value[1]
         total = np.zeros(lattice.size)
-        for batch in batches:
+        for batch in gathered(batches):
             own = spaced(batch.column("word").to_pylist())
             for some in grouped(own):
                 if len(own[some[0]]) > LONG:
@@ -257,7 +314,7 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, (own_logs, stop) = Lattice(fitted.value[0]), fitted.value[1]
-        for batch in batches:
+        for batch in gathered(batches):
             own = spaced(batch.column("word").to_pylist())
             out = np.zeros(len(own))
             for some in grouped(own):

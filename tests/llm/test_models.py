@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -309,6 +310,29 @@ def brute_base(rows):
     return out
 
 
+def test_lattice_of_many_words_at_once():
+    """Pieces found in all words at once are those found word by word; sums of weights are those of logarithms; words
+    come together from small batches, in order."""
+    names, logs = lattice.vocabulary(PIECES)
+    grid = lattice.Lattice(names)
+    rng = random.Random(7)
+    words = [b" " + bytes(rng.choices(b"aeinrst\xc3\xa9", k=9)) for _ in range(40)]
+    arcs = grid.arcs(words)
+    assert {(b, n, j): int(k) for (b, n, j), k in np.ndenumerate(arcs) if k >= 0} == {
+        (b, b - a, j): k for j, w in enumerate(words) for a in range(10) for b, k in grid.found(w, a)}
+    whole = grid.forward(arcs, logs)
+    assert np.allclose(whole.T, [grid.long_forward(w, logs.tolist()) for w in words], rtol=1e-12)
+    uses, total = grid.expected(arcs, logs, np.ones(40)), np.zeros(grid.size)
+    for w in words:
+        grid.long_expected(w, logs.tolist(), total)
+    assert np.allclose(uses, total, rtol=1e-9)
+    tiny = logs - 60.0  # too small for numbers: by logarithms
+    assert grid.plain(arcs, logs) and not grid.plain(arcs, tiny)
+    assert np.allclose(grid.forward(arcs, tiny).T, [grid.long_forward(w, tiny.tolist()) for w in words], rtol=1e-12)
+    batches = [pa.record_batch({"word": [b"%d" % k for k in range(i, i + 3)]}) for i in range(0, 30, 3)]
+    assert [b.num_rows for b in lattice.gathered(iter(batches))] == [30]
+
+
 @pytest.mark.parametrize("frequent", [lattice.FREQUENT, 3])
 @pytest.mark.parametrize("rows", [h.awkward_rows(), [], [(None, "a b")]], ids=["awkward", "empty", "untrained"])
 def test_scores(spark, rows, frequent, monkeypatch):

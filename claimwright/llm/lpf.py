@@ -37,8 +37,10 @@ from claimwright.llm.sketch import flagged, key_column, merged_flags
 LENGTH = 200
 #: Different segments of an anchor that are sorted together.
 GROUP = 4000
-#: Segments handled at once; a multiple of groups in any case.
-SORTED_AT_ONCE = 6000
+#: Segments handled at once, or the groups that hold as many: what is sorted stays near the processor.
+SORTED_AT_ONCE = 1000
+#: Of fewer symbols three ranks make one number, so a round of sorting makes ranks of three times the length.
+TRIPLED = 2**20
 #: Pairs of sides that segments of a larger group are told apart by.
 PARTS = 5
 
@@ -80,9 +82,11 @@ class Anchors:
         return at, hashes[at]
 
 
-def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
-    """Ranks of each position by (group, the next symbols), equal ones sharing a rank, for 5, 10, 20 and so on symbols
-    up to `depth`. Symbols are below 2^9 and 0 ends a text."""
+def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int,
+                 places: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """Ranks of each position by (group, the next symbols), equal ones sharing a rank, for 5, 15, 45 (or 5, 10, 20) and
+    so on symbols up to `depth`; those for the whole depth of the `places` only, if given. Symbols are below 2^9 and 0
+    ends a text."""
     packing = min(5, depth)
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(depth + packing, np.int64)])
     n = len(symbols)
@@ -98,11 +102,19 @@ def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int) -> list[tup
     ranks = [(packing, dense(key))]
     while ranks[-1][0] < depth:
         done, rank = ranks[-1]
-        step = min(done, depth - done)
-        follow = np.zeros(n, np.int64)
-        follow[:-step or None] = rank[step:] + 1
-        follow = np.where(ended_within(padded, n, done), 0, follow)
-        ranks.append((done + step, dense(rank * (n + 2) + follow)))
+        reach = min((3 if n < TRIPLED else 2) * done, depth)
+        key = rank
+        for step in ([done] if reach > 2 * done else []) + [reach - done]:
+            follow = np.zeros(n, np.int64)
+            follow[:-step or None] = rank[step:] + 1
+            follow[ended_within(padded, n, step)] = 0
+            key = key * (n + 2) + follow
+        if reach < depth or places is None:
+            ranks.append((reach, dense(key)))
+        else:
+            last = np.full(n, -1, np.int64)
+            last[places] = dense(key[places])
+            ranks.append((reach, last))
     return ranks
 
 
@@ -143,7 +155,12 @@ def common_prefix(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], x: n
     ends = np.flatnonzero(symbols == 0)
     room = np.append(ends, len(symbols))[np.searchsorted(ends, x)] - x
     n, last = np.zeros(len(x), np.int64), len(symbols) - 1
-    steps = [*reversed(ranks), *[(1, symbols)] * (ranks[0][0] - 1)]
+    lengths = [1, *(length for length, _ in ranks)]
+    again = [-(-b // a) - 1 for a, b in zip(lengths, lengths[1:])]  # how often each length fits into the next
+    steps = [ranks[-1]]
+    for times, (length, rank) in zip(again[:0:-1], ranks[-2::-1]):
+        steps += [(length, rank)] * times
+    steps += [(1, symbols)] * again[0]
     open_ = np.ones(len(x), bool)
     for k, (length, rank) in enumerate(steps):
         same = open_ & (rank[np.minimum(x + n, last)] == rank[np.minimum(y + n, last)])
@@ -157,24 +174,30 @@ def common_prefix(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], x: n
 
 
 def longest_previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int,
-                             places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+                             places: np.ndarray | None = None, shorter: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """For each of the `places` (all, if not given; in order) the length, up to `depth`, of the longest string from
     there on that an earlier one of them in its group begins with too, and that place: the nearest one where the whole
-    depth is equal, -1 where nothing is.
+    depth is equal, -1 where nothing is. Without `shorter`, factors that do not have the whole depth count as none.
 
     Of all earlier places, those that stand nearest before and behind in the suffix order (its previous and next
     smaller values) have the longest strings in common."""
     places = np.arange(len(symbols)) if places is None else places
-    ranks = suffix_ranks(symbols, group, depth)
+    ranks = suffix_ranks(symbols, group, depth, places)
     order = np.argsort(ranks[-1][1][places], kind="stable")  # equal ones by place
     lengths, source = np.zeros(len(places), np.int64), np.full(len(places), -1, np.int64)
+    if not shorter:
+        ends = np.append(np.flatnonzero(symbols == 0), len(symbols))
+        whole, room = ranks[-1][1][places], ends[np.searchsorted(ends, places)] - places
     reach = int(np.unique(group[places], return_counts=True)[1].max(initial=0))  # a group stands together
     before, behind = previous_smaller(order, reach), len(order) - 1 - previous_smaller(order[::-1], reach)[::-1]
     for near in (before, np.where(behind < len(order), behind, -1)):
         own, other = order[near >= 0], order[near[near >= 0]]
         one = group[places[own]] == group[places[other]]
         own, other = own[one], other[one]
-        n = common_prefix(symbols, ranks, places[own], places[other])
+        if shorter:
+            n = common_prefix(symbols, ranks, places[own], places[other])
+        else:
+            n = np.where((whole[own] == whole[other]) & (room[own] >= depth), depth, 0)
         longer = n > lengths[own]
         lengths[own[longer]], source[own[longer]] = n[longer], places[other[longer]]
     return lengths, source
@@ -211,7 +234,7 @@ def repeated_sides(group: np.ndarray, left: list[bytes], right: list[bytes], run
     inside = starts[1:][owner] - 1 - np.arange(len(symbols)) > run  # the string ends before its text does
     # Equal strings have the anchor at the same place, else they are another anchor's to find.
     places = np.flatnonzero((before >= 0) & (before <= run) & inside)
-    factors, source = longest_previous_factors(symbols, group[owner], run + 1, places)
+    factors, source = longest_previous_factors(symbols, group[owner], run + 1, places, shorter=False)
     whole = factors > run
     later, source = places[whole], source[whole]
     hit = np.concatenate([later, source])
@@ -329,9 +352,9 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.Re
             x.extend(batch.column(name).to_pylist())
         while len(held[0]) > SORTED_AT_ONCE:
             n = SORTED_AT_ONCE
-            while n and all(held[i][n] == held[i][n - 1] for i in (0, 1, 5)):
-                n -= 1
-            if not n:
+            while n < len(held[0]) and all(held[i][n] == held[i][n - 1] for i in (0, 1, 5)):
+                n += 1
+            if n == len(held[0]):  # the group may go on
                 break
             yield solved(n)
     if held[0]:

@@ -155,6 +155,21 @@ def test_longest_previous_factors(depth, some):
                 assert source[k] == max(j for n, j in earlier if n == depth)
 
 
+@pytest.mark.parametrize("depth", [3, 23, 101])
+def test_whole_factors(depth):
+    """Without shorter ones, factors of the whole depth are the same; fewer rounds of sorting than doublings rank them."""
+    rng = random.Random(depth)
+    texts = [t for _, t in random_docs(depth, 12)] * 2
+    symbols = np.concatenate([np.frombuffer((t + "\0").encode(), np.uint8).astype(np.int64) for t in texts])
+    group = np.concatenate([np.full(len(t.encode()) + 1, k // 5) for k, t in enumerate(texts)])
+    places = np.flatnonzero(np.array([rng.random() < 0.5 for _ in symbols]))
+    lengths, source = lpf.longest_previous_factors(symbols, group, depth, places)
+    whole, at = lpf.longest_previous_factors(symbols, group, depth, places, shorter=False)
+    assert (whole == np.where(lengths == depth, depth, 0)).all() and (whole > 0).any()
+    assert (at == np.where(lengths == depth, source, -1)).all()
+    assert [n for n, _ in lpf.suffix_ranks(symbols, group, 101)] == [5, 15, 45, 101]
+
+
 def test_later_copies():
     """The first occurrence of each string stays, every later one goes."""
     rng = random.Random(6)

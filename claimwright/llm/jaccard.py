@@ -17,6 +17,10 @@ last the shingles that are repeated within small parts of the rows, the common o
 what two sets have in common begins with one shingle in both; a pair is left out at shingles that have too few of either
 set behind them, and a pair that is alike is found at the first.
 
+What is shuffled is kept small: nodes have numbers, which take less room in lists than their names; shingles that one
+node alone has in its list, and in the last comparison those that one component alone has, are left out behind sketches
+before lists go anywhere; and of equal sets only the one that stands for the node is sent to be compared.
+
 Defined cases: null and empty texts have no shingles, are linked with nothing and are components of their own; a text
 with fewer words than a shingle has its whole sequence as one; rows are documents of their own also if repeated (equal
 rows are linked); a null id is larger than any other, and a component of such rows only has a null id; extra columns
@@ -30,12 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright.llm.common import (NO_ID, SPACES, Rolling, as_long, buffer_of, byte_set, chunks, mixed, order_id,
                                     sequences, stored, word_spans)
 from claimwright.llm.graph import components
-from claimwright.llm.sketch import flagged, merged_flags
+from claimwright.llm.sketch import flagged, key_column, merged_flags
 
 SHINGLE = 4
 LIKE = (85, 100)
@@ -99,8 +104,27 @@ def size_class(n: str, like: tuple[int, int]) -> Column:
     return F.floor(F.ln(n) / width)
 
 
-def keys_of(names: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(x[:8] for x in names), np.uint64)
+def keys_of(names: list[bytes], ids: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x[:8] for x in names), np.uint64) ^ mixed(np.asarray(ids).view(np.uint64), 8)
+
+
+def flagged_lists(frame: DataFrame, column: str, flags, seed: int | None = None) -> DataFrame:
+    """A row (token, place in the list, other columns) for each member of the lists in `column` that is flagged, as
+    it is or scrambled by `seed`."""
+    rest = [c for c in frame.columns if c != column]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(column)
+            tokens, row = np.asarray(pc.list_flatten(lists)).view(np.uint64), np.asarray(pc.list_parent_indices(lists))
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            keep = flagged(tokens if seed is None else mixed(tokens, seed), *flags.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(as_long(tokens[keep])), pa.array(place[keep]),
+                 *(batch.column(c).take(pa.array(row[keep])) for c in rest)], names=["token", "place", *rest])
+
+    kinds = ", ".join(f"{c} {frame.schema[c].dataType.simpleString()}" for c in rest)
+    return frame.mapInArrow(rows, f"token long, place long, {kinds}")
 
 
 def prefix_sets(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
@@ -186,20 +210,30 @@ def may_be_alike(like: tuple[int, int], n_x: str, n_y: str, shared_x: str, share
 
 def pairs_across(nodes: DataFrame, roots: DataFrame, like: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of `nodes` of different components, by `roots` (node, root), that may be alike."""
-    lists = nodes.select("node", "n", "shared", F.posexplode("rare").alias("place", "token")) \
-        .select("token", "node", "n", (F.col("shared") - F.col("place")).alias("shared"))  # from this shingle on
-    labelled = (lists.join(roots, "node", "left")
-                .select("token", "node", "n", "shared", F.coalesce("root", "node").alias("root")))
-    split = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    labelled = stored(labelled.join(split.select("token"), "token"), "lists").join(nodes.select("node", "marks"), "node") \
-        .select("token", size_class("n", like).alias("size"), "node", "n", "shared", "root", "marks")
-    smaller = labelled.toDF("token", "size", "a", "n_a", "shared_a", "root_a", "marks_a")
+    context = nodes.sparkSession.sparkContext
+    placed = stored(nodes.select("node", "n", "shared", "rare").join(roots, "node", "left")
+                    .withColumn("root", F.coalesce("root", "node")), "placed")
+    split = stored(placed.select("root", F.explode("rare").alias("token")).groupBy("token")
+                   .agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token"), "split")
+    flags = context.broadcast(merged_flags(split, key_column("token"), split.count(), flag="once"))
+    labelled = stored(flagged_lists(placed, "rare", flags)
+                      .select("token", "node", "n", (F.col("shared") - F.col("place")).alias("shared"), "root")  # from here on
+                      .join(split, "token"), "lists")
+    flags.destroy()
+    labelled = labelled.select("token", size_class("n", like).alias("size"), "node", "n", "shared", "root")
+    smaller = labelled.toDF("token", "size", "a", "n_a", "shared_a", "root_a")
     larger = (labelled.withColumn("size", F.explode(F.array("size", F.col("size") - 1)))
-              .toDF("token", "size", "b", "n_b", "shared_b", "root_b", "marks_b"))
-    return (smaller.join(larger, ["token", "size"])
-            .where("root_a <> root_b AND (n_a < n_b OR n_a = n_b AND a < b)")
+              .toDF("token", "size", "b", "n_b", "shared_b", "root_b"))
+    pairs = (smaller.join(larger, ["token", "size"])
+             .where("root_a <> root_b AND (n_a < n_b OR n_a = n_b AND a < b)")
+             .where(may_be_alike(like, "n_a", "n_b", "shared_a", "shared_b"))
+             .select("a", "b").distinct())
+    # Marks are wide: they go to the pairs that are left, not to every list.
+    sides = [nodes.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "shared", "marks")))
+             for s in "ab"]
+    return (pairs.join(sides[0], "a").join(sides[1], "b")
             .where(may_be_alike(like, "n_a", "n_b", "shared_a", "shared_b", ("marks_a", "marks_b")))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int, int] = LIKE) -> DataFrame:
@@ -210,23 +244,46 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
     context = docs.sparkSession.sparkContext
     orders = [f"p{k}" for k in range(ORDERS)]
     rows = prefix_sets(docs, shingle=shingle, like=like)
-    nodes = stored(rows.where("p0 IS NOT NULL").select("node", "n", "shared", "marks", "rare", *orders)
-                   .dropDuplicates(["node"]), "nodes")
+    nodes = stored(rows.where("p0 IS NOT NULL").select(F.col("node").alias("name"), "id", "n", "shared", "marks", "rare",
+                                                       *orders)
+                   .dropDuplicates(["name"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    listed = nodes.agg(F.sum(F.size("p0"))).first()[0] or 0
+
+    def tokens_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for k, order in enumerate(orders):
+            yield mixed(np.asarray(pc.list_flatten(batch.column(order))).view(np.uint64), 60 + k)
+
+    repeated = context.broadcast(merged_flags(nodes.select(*orders), tokens_of, ORDERS * listed))
 
-    def lists(order: str) -> DataFrame:
-        return nodes.select("node", "n", "shared", F.explode(order).alias("token"))
+    def lists(k: int) -> DataFrame:
+        """Of one order, without the shingles that surely are in one list only."""
+        return flagged_lists(nodes.select("node", "n", "shared", orders[k]), orders[k], repeated, 60 + k).drop("place")
+
+    def ends_of(pairs: DataFrame, *columns: str) -> DataFrame:
+        return (pairs.select(*(F.col(f"{c}_a").alias(c) for c in columns))
+                .union(pairs.select(*(F.col(f"{c}_b").alias(c) for c in columns))).distinct())
 
     def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The pairs (a, b) that pass the filters of all orders, and those of them that are alike enough."""
-        sides = [nodes.select(F.col("node").alias(s), *(F.col(p).alias(f"{p}_{s}") for p in orders)) for s in "ab"]
+        pairs = stored(pairs, "pairs")
+        ends = stored(ends_of(pairs.toDF("node_a", "node_b"), "node"), "ends")
+        compared = context.broadcast(merged_flags(ends, key_column("node"), ends.count(), flag="once"))
+
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(flagged(np.asarray(batch.column("node")).view(np.uint64), *compared.value)))
+
+        wide = nodes.select("node", "name", "id", *orders)
+        wide = wide.mapInArrow(some, wide.schema)
+        sides = [wide.toDF(s, f"name_{s}", f"id_{s}", *(f"{p}_{s}" for p in orders)) for s in "ab"]
         pairs = pairs.join(sides[0], "a").join(sides[1], "b")
         for p in orders:
             pairs = pairs.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
-        candidates = stored(pairs.select("a", "b"), "candidates")
-        ends = stored(candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node")))
-                      .distinct(), "ends")
-        wanted = context.broadcast(merged_flags(ends, lambda batch: [keys_of(batch.column("node").to_pylist())],
-                                                ends.count(), flag="once"))
+        candidates = stored(pairs.select("a", "b", "name_a", "name_b", "id_a", "id_b"), "candidates")
+        compared.destroy()
+        ends = stored(ends_of(candidates, "name", "id"), "ends")
+        wanted = context.broadcast(merged_flags(
+            ends, lambda batch: [keys_of(batch.column("name").to_pylist(), batch.column("id"))], ends.count(), flag="once"))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles = Shingles(shingle)
@@ -235,15 +292,17 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
                     hashes, begins = shingles.of(part.column("text"))
                     names = node_names(hashes, begins)
                     some = np.flatnonzero(np.diff(begins) > 0)
-                    some = some[flagged(keys_of([names[k] for k in some]), *wanted.value)]
+                    ids = part.column("id").take(pa.array(some))
+                    some = some[flagged(keys_of([names[k] for k in some], ids), *wanted.value)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([names[k] for k in some], pa.binary()),
                          pa.array([hashes[begins[k]:begins[k + 1]].tobytes() for k in some], pa.binary())],
                         names=["node", "members"])
 
-        members = stored(docs.select("text").mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]),
+        members = stored(docs.select("id", "text").mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]),
                          "members")
-        full = (candidates.join(members.toDF("a", "members_a"), "a").join(members.toDF("b", "members_b"), "b"))
+        full = (candidates.select("a", "b", "name_a", "name_b").join(members.toDF("name_a", "members_a"), "name_a")
+                .join(members.toDF("name_b", "members_b"), "name_b").select("a", "b", "members_a", "members_b"))
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -254,15 +313,15 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
                     keep.append(den * both >= num * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        same = stored(full.mapInArrow(check, "a binary, b binary"), "alike")
+        same = stored(full.mapInArrow(check, "a long, b long"), "alike")
         wanted.destroy()
-        return candidates, same
+        return candidates.select("a", "b"), same
 
     # One node of each list against the others: the one with the fewest shingles of its own, which is the likeliest to
     # be what the others are copies of. Each node keeps the best such pair of each order.
     stars = None
-    for order in orders:
-        whole = lists(order)
+    for k in range(ORDERS):
+        whole = lists(k)
         own = (F.col("n") - F.col("shared")).alias("own")
         centre = whole.groupBy("token").agg(F.min(F.struct(own, "node", "n", "shared")).alias("c"))
         centre = centre.select("token", "c.own", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"),
@@ -274,20 +333,24 @@ def similar_groups(docs: DataFrame, *, shingle: int = SHINGLE, like: tuple[int,
         stars = star if stars is None else stars.union(star)
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried, alike = verified(stars)
+    repeated.destroy()
 
     # Every other pair, as far as it would join two components.
     across = pairs_across(nodes, components(alike), like).join(tried, ["a", "b"], "left_anti")
     _, more = verified(across)
     links = alike.union(more)
-    roots = stored(components(links), "roots")
+    degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
+              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+    names = nodes.select("node", "name")
+    roots = stored(components(links).join(degree, "node").join(names, "node")
+                   .join(names.toDF("root", "root_name"), "root")
+                   .select(F.col("name").alias("node"), F.col("root_name").alias("root"), "n_links"), "roots")
 
     named = rows.select("doc_id", "id", "n", "node").join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
     least = named.where("n > 0").groupBy("root").agg(F.min("id").alias("least"))
-    degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
     component = F.coalesce("least", "id")
-    return (named.join(least, "root", "left").join(degree, "node", "left")
+    return (named.join(least, "root", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(component < NO_ID, component).alias("component_id"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links")))

@@ -278,3 +278,41 @@ def test_sketch_loses_no_repeated_key(spark):
     assert sketch.flagged(values[counts > 1].view(np.uint64), bits, flags).all()
     some = np.sort(np.random.default_rng(2).integers(0, 2**18, 4000))
     assert (sketch.unpacked(sketch.packed(some)) == some).all()
+
+
+def test_listed_shingles_that_one_node_has_are_left_out(spark):
+    """Members of lists that are in a sketch come with their places; those of one list only mostly do not."""
+    rng = random.Random(8)
+    rows = [(k, [rng.randrange(40) if rng.random() < 0.3 else 1000 * k + j for j in range(rng.randint(0, 30))])
+            for k in range(50)]
+    frame = spark.createDataFrame(rows, "node long, p array<long>").repartition(3)
+    counts = Counter(t for _, tokens in rows for t in tokens)
+
+    def keys(batch):
+        yield np.array([t for tokens in batch.column("p").to_pylist() for t in tokens], np.int64).view(np.uint64)
+
+    flags = spark.sparkContext.broadcast(sketch.merged_flags(frame, keys, 10))
+    got = {(r.token, r.place, r.node) for r in jaccard.flagged_lists(frame, "p", flags).collect()}
+    whole = {(t, j, k) for k, tokens in rows for j, t in enumerate(tokens)}
+    assert {x for x in whole if counts[x[0]] > 1} <= got <= whole
+    assert len(got) < len(whole) / 2
+
+
+def test_names_and_marks_stay_out_of_lists(spark, monkeypatch):
+    """What is stored for each listed shingle is numbers only, and of equal sets one is sent to be compared."""
+    kept, real = defaultdict(list), jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda frame, name: kept[name].append(real(frame, name)) or kept[name][-1])
+    sent, merge = [], jaccard.merged_flags
+
+    def recorded(frame, keys_of, *rest, **options):
+        if {"name", "id"} == set(frame.columns):
+            sent.append(frame.count())
+        return merge(frame, keys_of, *rest, **options)
+
+    monkeypatch.setattr(jaccard, "merged_flags", recorded)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join(base if k % 3 else base[:60] + [f"x{k}"] + base[61:])) for k in range(60)]
+    same(jaccard.similar_groups(h.documents(spark, rows)), ["doc_id", "n_shingles", "component_id"], brute_jaccard(rows))
+    assert [set(dict(f.dtypes).values()) for f in kept["lists"]] == [{"bigint"}]
+    assert dict(kept["nodes"][0].dtypes)["node"] == "bigint"
+    assert max(sent) <= kept["nodes"][0].count() == 21

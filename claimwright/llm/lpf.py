@@ -94,11 +94,9 @@ def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int,
     for k in range(packing):
         key = (key << 9) | padded[k:k + n]
     # What lies behind a text's end is not compared.
+    room = room_of(symbols)
     for k in range(1, packing):
-        over = np.zeros(n, bool)
-        for j in range(k):
-            over |= padded[j:j + n] == 0
-        key[over] &= ~(np.int64(511) << np.int64(9 * (packing - 1 - k)))
+        key[room < k] &= ~(np.int64(511) << np.int64(9 * (packing - 1 - k)))
     ranks = [(packing, dense(key))]
     while ranks[-1][0] < depth:
         done, rank = ranks[-1]
@@ -107,7 +105,7 @@ def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int,
         for step in ([done] if reach > 2 * done else []) + [reach - done]:
             follow = np.zeros(n, np.int64)
             follow[:-step or None] = rank[step:] + 1
-            follow[ended_within(padded, n, step)] = 0
+            follow[room < step] = 0
             key = key * (n + 2) + follow
         if reach < depth or places is None:
             ranks.append((reach, dense(key)))
@@ -118,10 +116,11 @@ def suffix_ranks(symbols: np.ndarray, group: np.ndarray, depth: int,
     return ranks
 
 
-def ended_within(padded: np.ndarray, n: int, depth: int) -> np.ndarray:
-    """Whether a text ends in the `depth` symbols from each place."""
-    ends = np.concatenate([[0], np.cumsum(padded == 0)])
-    return ends[np.minimum(np.arange(n) + depth, len(padded))] > ends[:n]
+def room_of(symbols: np.ndarray) -> np.ndarray:
+    """Symbols from each place on before its text ends."""
+    at = np.arange(len(symbols))
+    ends = np.where(symbols == 0, at, len(symbols))
+    return np.minimum.accumulate(ends[::-1])[::-1] - at
 
 
 def dense(key: np.ndarray) -> np.ndarray:
@@ -180,24 +179,24 @@ def longest_previous_factors(symbols: np.ndarray, group: np.ndarray, depth: int,
     depth is equal, -1 where nothing is. Without `shorter`, factors that do not have the whole depth count as none.
 
     Of all earlier places, those that stand nearest before and behind in the suffix order (its previous and next
-    smaller values) have the longest strings in common."""
+    smaller values) have the longest strings in common; those with the whole depth in common stand together in it."""
     places = np.arange(len(symbols)) if places is None else places
     ranks = suffix_ranks(symbols, group, depth, places)
-    order = np.argsort(ranks[-1][1][places], kind="stable")  # equal ones by place
-    lengths, source = np.zeros(len(places), np.int64), np.full(len(places), -1, np.int64)
+    whole, m = ranks[-1][1][places], len(places)
+    order = np.sort(whole * m + np.arange(m)) % max(m, 1)  # equal ones by place
+    lengths, source = np.zeros(m, np.int64), np.full(m, -1, np.int64)
     if not shorter:
-        ends = np.append(np.flatnonzero(symbols == 0), len(symbols))
-        whole, room = ranks[-1][1][places], ends[np.searchsorted(ends, places)] - places
+        equal = (whole[order[1:]] == whole[order[:-1]]) & (room_of(symbols)[places[order[1:]]] >= depth)
+        later = order[1:][equal]
+        lengths[later], source[later] = depth, places[order[:-1][equal]]
+        return lengths, source
     reach = int(np.unique(group[places], return_counts=True)[1].max(initial=0))  # a group stands together
     before, behind = previous_smaller(order, reach), len(order) - 1 - previous_smaller(order[::-1], reach)[::-1]
     for near in (before, np.where(behind < len(order), behind, -1)):
         own, other = order[near >= 0], order[near[near >= 0]]
         one = group[places[own]] == group[places[other]]
         own, other = own[one], other[one]
-        if shorter:
-            n = common_prefix(symbols, ranks, places[own], places[other])
-        else:
-            n = np.where((whole[own] == whole[other]) & (room[own] >= depth), depth, 0)
+        n = common_prefix(symbols, ranks, places[own], places[other])
         longer = n > lengths[own]
         lengths[own[longer]], source[own[longer]] = n[longer], places[other[longer]]
     return lengths, source

@@ -170,6 +170,27 @@ def test_whole_factors(depth):
     assert [n for n, _ in lpf.suffix_ranks(symbols, group, 101)] == [5, 15, 45, 101]
 
 
+@pytest.mark.parametrize("depth", [3, 11])
+def test_whole_factors_stand_together(depth, monkeypatch):
+    """Equal strings of the whole depth are neighbours in the suffix order: no search for smaller values is made."""
+    monkeypatch.setattr(lpf, "previous_smaller", None)
+    rng = random.Random(depth)
+    for _ in range(20):
+        texts = ["".join(rng.choices("ab", k=rng.randint(0, 20))) for _ in range(6)] + ["ab" * 9]
+        texts.append(texts[0])
+        groups = [k // 3 for k in range(len(texts))]
+        symbols = np.concatenate([np.frombuffer((t + "\0").encode(), np.uint8).astype(np.int64) for t in texts])
+        group = np.concatenate([np.full(len(t) + 1, g) for t, g in zip(texts, groups)])
+        places = np.array([k for k in range(len(symbols)) if rng.random() < 0.7], np.int64)
+        lengths, source = lpf.longest_previous_factors(symbols, group, depth, places, shorter=False)
+        data = symbols.tobytes()
+        whole = {p: (group[p], data[8 * p:8 * (p + depth)]) for p in places
+                 if p + depth <= len(symbols) and symbols[p:p + depth].all()}
+        for k, place in enumerate(places):
+            earlier = [p for p in places[:k] if place in whole and whole.get(p) == whole[place]]
+            assert (lengths[k], source[k]) == ((depth, earlier[-1]) if earlier else (0, -1))
+
+
 def test_later_copies():
     """The first occurrence of each string stays, every later one goes."""
     rng = random.Random(6)

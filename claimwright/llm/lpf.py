@@ -7,9 +7,9 @@ segment reaches as far to both sides as a string through the anchor can. Segment
 1. Anchors that a merged sketch estimates repeated are counted exactly, with a hash of their whole segment.
 2. A segment that occurs twice is repeated as a whole. It is not sorted again for each copy: one stands for all.
 3. Where different segments share an anchor, the texts of the different ones are sorted together: the suffix array over
-   their left and right sides, and from its previous and next smaller positions the longest previous factor of each
-   position where a string through the anchor begins, up to `length`. Positions with a factor that long are later
-   copies, and the factor's source is the earlier one.
+   their left and right sides, of each position where a string through the anchor begins. Positions whose longest
+   previous factor has the whole length are later copies, and the factor's source is the earlier one: the two are
+   neighbours in the suffix order, so shorter factors are not looked for.
 4. Anchors with very many different segments are not sorted in one task: their segments are split by pairs of shorter
    sides, one of which any two segments with a string in common share; groups that are still too large have their
    strings counted by hash.

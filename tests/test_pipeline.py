@@ -301,3 +301,12 @@ def test_claims_are_sorted_in_as_many_parts_as_their_tables_need(spark, tmp_path
     monkeypatch.setattr(inputs, "_stored", {})
     inputs.claims_path(spark, "/root/testdata/sf0.001")
     assert seen == ["100"]
+
+
+def test_registered_retraining_searches_the_whole_grid(spark, monkeypatch):
+    from catalog.queries import QUERIES
+
+    found = []
+    monkeypatch.setattr(workflow, "run_pipeline", lambda spark, cfg: found.append(cfg))
+    QUERIES["retrain_workflow"](spark, SF)
+    assert found[0].grid is None and found[0].search and found[0].gbt_params == {}

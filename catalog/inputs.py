@@ -15,7 +15,7 @@ from claimwright.operators.messages import encode_messages
 from claimwright.operators.sampling import hash_split
 from claimwright.plans.features import build_features, clean_batch
 from claimwright.schema import PROCEDURES
-from claimwright.session import shared_dir, sized_shuffles
+from claimwright.session import settings, shared_dir, sized_shuffles
 from claimwright.sources.streams import TOPIC, captured_messages
 from claimwright.sources.tables import input_summary, read_raw_claims, save_parquet, write_raw_claims
 from claimwright.streaming import ledger
@@ -79,10 +79,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Bytes of a row group of captured messages. A batch is a few files, and a task reads whole row groups: of the default,
+#: as large as a file, a file is read by one task, however many cores wait.
+ROW_GROUP = 8 * 1024 * 1024
+
+
 def captured_path(spark: SparkSession, sf_dir: str) -> str:
     """Messages captured as files, for the streaming source. They are some ten times the order lines they are made of, so
     the tasks that make them write them, without another shuffle."""
-    return stored(spark, sf_dir, "captured", lambda path: messages(spark, sf_dir).write.parquet(path))
+    def build(path: str) -> None:
+        with settings(spark, parquet__block__size=ROW_GROUP):
+            messages(spark, sf_dir).write.parquet(path)
+
+    return stored(spark, sf_dir, "captured", build)
 
 
 #: Batches of a backlog, at most, if it has more than twice as many files: each batch commits all state and reads what

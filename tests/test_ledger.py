@@ -179,3 +179,26 @@ def test_messages_are_captured_without_a_shuffle_of_their_own(spark, monkeypatch
     inputs.captured_path(spark, SF)
     seen[0]("here")
     assert seen[1] == "here"
+
+
+def test_captured_files_can_be_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Row groups bound what a task reads; the session's setting holds again afterwards."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(inputs, "stored", lambda _, sf_dir, name, build: build(str(tmp_path / name)) or str(tmp_path / name))
+    monkeypatch.setattr(inputs, "ROW_GROUP", 64 * 1024)
+    inputs.captured_path(spark, SF)
+    groups = [pq.ParquetFile(f).num_row_groups for f in glob.glob(str(tmp_path / "captured" / "*.parquet"))]
+    assert max(groups) > 1 and spark.conf.get("parquet.block.size", None) is None
+
+
+def test_whole_rows_are_told_apart(spark):
+    from catalog.queries import _whole
+
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", "", 1.0), ("", "a", 1.0), ("a", None, None), ("a", None, 2.0),
+            ("b", None, 1.0), (None, None, None)]
+    frame = spark.createDataFrame([*rows, rows[0]], "x string, y string, z double")
+    found = frame.select(*_whole(["x", "y", "z"])).collect()
+    assert len(set(found)) == len(rows) and found[0] == found[-1]

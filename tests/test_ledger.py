@@ -202,3 +202,16 @@ def test_whole_rows_are_told_apart(spark):
     frame = spark.createDataFrame([*rows, rows[0]], "x string, y string, z double")
     found = frame.select(*_whole(["x", "y", "z"])).collect()
     assert len(set(found)) == len(rows) and found[0] == found[-1]
+
+
+def test_arrivals_are_made_in_one_pass(spark, tmp_path, monkeypatch):
+    """The captured messages are read once for all arrivals, and nothing is left beside these."""
+    captured, reads = inputs.captured_path(spark, SF), []
+    log = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: reads.extend(paths) or log(self, *paths))
+    inputs.append_arrivals(spark, SF, str(tmp_path / "messages"), range(inputs.ARRIVALS))
+    assert reads.count(captured) == 1 and [p.name for p in tmp_path.iterdir()] == ["messages"]
+    passes = [p for p in reads if "-aside-" in p]
+    assert len(passes) == 1
+    assert log(spark.read, str(tmp_path / "messages")).exceptAll(log(spark.read, captured)).count() == 0
+    assert log(spark.read, str(tmp_path / "messages")).count() == log(spark.read, captured).count()

@@ -28,6 +28,22 @@ def test_rows_are_drawn_in_any_lots():
     assert found == [x < 0.8 for x in itertools.islice(boosting.draws(9), 4000)]
 
 
+def test_exponential_is_that_of_java(spark):
+    rng = np.random.default_rng(0)
+    xs = np.concatenate([rng.normal(size=200) * 4, rng.normal(size=50) * 1e-3, [0.0, -0.0, 1e-10, 700.5, -700.5, 0.35, 1.04, -1.04]])
+    java = spark.sparkContext._jvm.java.lang.StrictMath.exp
+    assert list(boosting.java_exp(xs)) == [java(float(x)) for x in xs]
+    assert list(boosting.java_exp(np.array([-1e9, 1e9]))) == [0.0, math.inf]
+
+
+def test_sums_go_on_from_block_to_block():
+    rng = np.random.default_rng(1)
+    at, values = rng.integers(0, 4, 90), rng.normal(size=90)
+    whole = np.bincount(at, values, 4)
+    first = boosting.binned_sum(np.zeros(4), at[:31], values[:31])
+    assert list(boosting.binned_sum(first, at[31:], values[31:])) == list(whole)
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """Numbers with many and few values and zeros, a constant, and categories; in partitions of which one is empty."""
